@@ -7,12 +7,11 @@ from pyspark.sql import Column, functions as F
 MICROS_PER_DAY = 86_400_000_000
 
 
-def epoch_micros(ts: str | Column) -> Column:
-    """Microseconds since 1970-01-01 of a wall-clock timestamp (TIMESTAMP_NTZ or DATE),
-    independent of ``spark.sql.session.timeZone``."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestampdiff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                           c.cast("timestamp_ntz"))
+def epoch_micros(ts: str) -> Column:
+    """Microseconds since 1970-01-01 of the wall-clock timestamp in column ``ts``
+    (TIMESTAMP_NTZ or DATE); no time-zone conversion is involved, so the result does not
+    depend on ``spark.sql.session.timeZone``."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(`{ts}` AS TIMESTAMP_NTZ))")
 
 
 def days_between(later_us: Column, earlier_us: Column) -> Column:
