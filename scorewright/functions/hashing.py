@@ -18,4 +18,4 @@ def unit_score(*parts: str | Column) -> Column:
 def unit_score_sql(*parts: str) -> str:
     """DuckDB twin of :func:`unit_score`; ``parts`` are SQL expressions."""
     inner = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"(CAST(('0x' || substr(md5(concat_ws(':', {inner})), 1, 7)) AS BIGINT) / {_SCALE})"
+    return f"(CAST(('0x' || substr(md5(concat_ws(':', {inner})), 1, 7)) AS BIGINT) / {_SCALE}::DOUBLE)"

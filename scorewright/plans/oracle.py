@@ -87,6 +87,64 @@ def agg_sql(agg: str, c: str) -> tuple[str, bool | None]:
     raise ValueError(agg)
 
 
-def score_sql(model: str, seed: str, id_expr: str, truth_expr: str) -> str:
-    """Fixture P: 0.7 * md5 unit score + 0.3 * truth."""
-    return f"({unit_score_sql(model, seed, id_expr)} * 0.7 + 0.3 * {truth_expr})"
+def score_sql(model: str, seed: str, id_expr: str, truth_expr: str, ties: bool = False) -> str:
+    """Fixture P: 0.7 * md5 unit score + 0.3 * truth (tie variant: floor to 2 decimals)."""
+    s = f"({unit_score_sql(model, seed, id_expr)} * 0.7::DOUBLE + 0.3::DOUBLE * {truth_expr})"
+    return f"(floor({s} * 100.0::DOUBLE) / 100.0::DOUBLE)" if ties else s
+
+
+MODELS = ("lgbm", "cb", "xgb")
+SEEDS = (42, 52, 62)
+_GRID = ", ".join(f"('{m}', {s})" for m in MODELS for s in SEEDS)
+
+
+def pred_long_cte(name: str, split: str = "oof", ties: bool = False) -> str:
+    """Long prediction table (customer_id, [target], model, seed, prediction) as a CTE."""
+    where = "NOT t.is_test" if split == "oof" else "t.is_test"
+    tgt = "t.truth AS target, " if split == "oof" else ""
+    return (f"{name} AS (SELECT t.customer_id, {tgt}g.model, g.seed, "
+            f"{score_sql('g.model', 'g.seed', 't.customer_id', 't.truth', ties)} AS prediction "
+            f"FROM truth t CROSS JOIN (VALUES {_GRID}) g(model, seed) WHERE {where})")
+
+
+def avg_rank_sql(score: str, pk: list[str]) -> str:
+    part = ", ".join(pk)
+    p1 = f"PARTITION BY {part}" if pk else ""
+    p2 = f"PARTITION BY {part + ', ' if pk else ''}{score}"
+    return (f"(rank() OVER ({p1} ORDER BY {score}) + "
+            f"(count(*) OVER ({p2}) - 1) / 2.0::DOUBLE)")
+
+
+def rank_norm_sql(score: str, pk: list[str]) -> str:
+    p1 = f"PARTITION BY {', '.join(pk)}" if pk else ""
+    return (f"CASE WHEN {score} IS NULL THEN NULL ELSE {avg_rank_sql(score, pk)} / "
+            f"count(*) OVER ({p1}) END")
+
+
+def metric_ctes(src: str, pk: list[str], y: str, s: str, id_col: str, variant: str = "mod",
+                prefix: str = "m") -> str:
+    """CTEs ending in ``{prefix}_r`` (pk..., gini, capture, metric) for the combined metric."""
+    pkl = ", ".join(pk)
+    sel = f"{pkl}, " if pk else ""
+    part = f"PARTITION BY {pkl}" if pk else ""
+    grp = f"GROUP BY {pkl}" if pk else ""
+    join = f"JOIN {prefix}_t USING ({pkl})" if pk else f"CROSS JOIN {prefix}_t"
+    cut = ("cw * 25 <= P + 20 * N" if variant == "mod" else "cw / (P + 20 * N) <= 0.04::DOUBLE")
+    W = "(P + 20 * N)"
+    Q = f"(({W} * {W} + P + 400 * N) / 2)"
+    gmax = (f"((P * (P + 1) / 2 + 20 * N * P) / P - {Q} / {W})" if variant == "mod"
+            else f"(10 * N * (P + 20 * N - 19) / {W})")
+    frame = f"OVER ({part} ORDER BY s DESC, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return (
+        f"{prefix}_m AS (SELECT {sel}{id_col} AS id, CAST({y} AS BIGINT) AS y, CAST({s} AS DOUBLE) AS s, "
+        f"CAST(CASE WHEN {y} = 0 THEN 20 ELSE 1 END AS BIGINT) AS w FROM {src} "
+        f"WHERE {y} IS NOT NULL AND {s} IS NOT NULL),\n"
+        f"{prefix}_c AS (SELECT {sel}y, w, SUM(y) {frame} AS cp, SUM(w) {frame} AS cw FROM {prefix}_m),\n"
+        f"{prefix}_t AS (SELECT {sel}CAST(SUM(y) AS BIGINT) AS P, CAST(SUM(1 - y) AS BIGINT) AS N "
+        f"FROM {prefix}_m {grp}),\n"
+        f"{prefix}_a AS (SELECT {sel}P, N, CAST(SUM(cp * w) AS BIGINT) AS S1, "
+        f"CAST(SUM(CASE WHEN {cut} THEN y ELSE 0 END) AS BIGINT) AS captured FROM {prefix}_c {join} "
+        f"GROUP BY {sel}P, N),\n"
+        f"{prefix}_g AS (SELECT {sel}(S1 / P - {Q} / {W}) / {gmax} AS gini, captured / P AS capture "
+        f"FROM {prefix}_a),\n"
+        f"{prefix}_r AS (SELECT {sel}gini, capture, 0.5::DOUBLE * (gini + capture) AS metric FROM {prefix}_g)")

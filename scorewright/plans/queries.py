@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from scorewright.plans import q_features  # noqa: F401
+from scorewright.plans import q_features, q_models  # noqa: F401
