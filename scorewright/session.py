@@ -19,10 +19,11 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "scorewright",
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, driver_memory: str = "8g") -> SparkSession:
     """Session for tests and local benchmarks. On a cluster, use the cluster's session."""
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
+    conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
