@@ -22,7 +22,21 @@ DIFF_FEATURES = (("last_mean_diff", "last", "mean"), ("last_first_diff", "last",
 WIDE_LIMIT = 400
 
 
-def agg_expr(agg: str, col: str | Column, order: str) -> Column:
+def small_codes(df: DataFrame, cols: list[str]) -> bool:
+    """True when every column is integral with all values in [0, 62] (one global aggregate,
+    column-pruned). Such codes count distinct values exactly with a 64-bit mask, which keeps
+    the customer aggregate a code-generated hash aggregate instead of a sort-based one."""
+    from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if not cols or not all(isinstance(types[c], (ByteType, ShortType, IntegerType, LongType)) for c in cols):
+        return False
+    r = df.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
+               *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
+    return all((r[f"lo_{i}"] is None or r[f"lo_{i}"] >= 0) and (r[f"hi_{i}"] is None or r[f"hi_{i}"] <= 62)
+               for i in range(len(cols)))
+
+
+def agg_expr(agg: str, col: str | Column, order: str, mask_nunique: bool = False) -> Column:
     x = F.col(col) if isinstance(col, str) else col
     present_order = F.when(x.isNotNull(), F.col(order))
     if agg == "mean":
@@ -42,12 +56,15 @@ def agg_expr(agg: str, col: str | Column, order: str) -> Column:
     if agg == "count":
         return F.count(x)
     if agg == "nunique":
-        return F.size(F.collect_set(x))
+        if mask_nunique:
+            return F.coalesce(F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), x.cast("int")))),
+                              F.lit(0)).cast("long")
+        return F.size(F.collect_set(x)).cast("long")
     raise ValueError(f"unknown aggregate {agg!r}")
 
 
-def _wide(df: DataFrame, key: str, order: str, specs: list[tuple[str, str]]) -> DataFrame:
-    return df.groupBy(key).agg(*[agg_expr(a, c, order).alias(f"{c}_{a}") for c, a in specs])
+def _wide(df: DataFrame, key: str, order: str, specs: list[tuple[str, str]], mask: bool = False) -> DataFrame:
+    return df.groupBy(key).agg(*[agg_expr(a, c, order, mask).alias(f"{c}_{a}") for c, a in specs])
 
 
 def _long(df: DataFrame, key: str, order: str, cols: list[str], aggs: tuple[str, ...]) -> DataFrame:
@@ -68,13 +85,14 @@ def aggregate_history(df: DataFrame, key: str, order: str, numeric: list[str],
     if strategy == "auto":
         strategy = "long" if len(numeric) * len(num_aggs) > WIDE_LIMIT else "wide"
     cat_specs = [(c, a) for c in categorical for a in cat_aggs]
+    mask = "nunique" in cat_aggs and small_codes(df, categorical)
     if strategy == "wide" or not numeric:
-        return _wide(df, key, order, [(c, a) for c in numeric for a in num_aggs] + cat_specs)
+        return _wide(df, key, order, [(c, a) for c in numeric for a in num_aggs] + cat_specs, mask)
     num = _long(df, key, order, numeric, tuple(num_aggs))
     if not cat_specs:
         return num
     # both sides come out of a groupBy(key): the join needs no further exchange
-    return num.join(_wide(df, key, order, cat_specs), on=key, how="full")
+    return num.join(_wide(df, key, order, cat_specs, mask), on=key, how="full")
 
 
 def add_diff_features(df: DataFrame, numeric: list[str]) -> DataFrame:

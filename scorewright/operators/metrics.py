@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from scorewright.operators.joins import checked_small
 from scorewright.operators.ordered import ordered_scan
+from scorewright.session import cut_lineage
 
 LOGLOSS_EPS = 1e-15
 
@@ -50,6 +51,9 @@ def metric_components(df: DataFrame, label: str = "target", score: str = "predic
     d = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
          .select(*pk, id_col, y.alias("_y"), (-F.col(score).cast("double")).alias("_neg"),
                  F.when(y == 0, F.lit(20)).otherwise(F.lit(1)).cast("long").alias("_w")))
+    # narrow (partition, id, label, score, weight) rows, written once and read by the bucket
+    # planning, the totals and the scan instead of recomputing the upstream plan three times
+    d = cut_lineage(d)
     scanned = ordered_scan(d, pk, ["_neg", id_col], sums={"_cp": F.col("_y"), "_cw": F.col("_w")})
     totals = d.groupBy(*pk).agg(F.sum("_y").alias("P"), F.sum(F.lit(1) - F.col("_y")).alias("N"))
     j = _attach(scanned, totals, pk)

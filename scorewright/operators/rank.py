@@ -15,17 +15,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from scorewright.operators.joins import checked_small
 from scorewright.operators.ordered import ordered_scan
+from scorewright.session import cut_lineage
 
 
 def score_ranks(df: DataFrame, score: str, partition_by: list[str] = ()) -> DataFrame:
     """Distinct ``(partition..., score)`` with ``avg_rank`` (a multiple of 0.5, exact in
     floating point) and ``n`` (rows in the partition, missing scores included)."""
     pk = list(partition_by)
-    counts = (df.where(F.col(score).isNotNull()).groupBy(*pk, score)
-              .agg(F.count(F.lit(1)).alias("_c")))
-    scanned = ordered_scan(counts, pk, [score], sums={"_cum": F.col("_c")})
+    # distinct scores with their counts (the NULL score is its own group), written once: the
+    # bucket planning, the totals and the scan read this narrow table, not the upstream plan
+    counts = cut_lineage(df.groupBy(*pk, score).agg(F.count(F.lit(1)).alias("_c")))
+    valid = counts.where(F.col(score).isNotNull())
+    scanned = ordered_scan(valid, pk, [score], sums={"_cum": F.col("_c")})
     ranks = scanned.select(*pk, score, (F.col("_cum") - (F.col("_c") - F.lit(1)) / F.lit(2.0)).alias("avg_rank"))
-    totals = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy(*pk).agg(F.sum("_c").alias("n"))
     if pk:
         totals, small = checked_small(totals)
         return ranks.join(F.broadcast(totals) if small else totals, on=pk, how="left")

@@ -23,17 +23,17 @@ def statement_features(spark: SparkSession, sf_dir: str, fit_filter=None, **scan
     """Statements with date features, history position ``rn``, ``days_diff``, ``target``
     (NULL for test customers) and target-encoded categoricals.
 
-    Plan: scan -> per-order line roll-up join -> date columns -> ordered scan by customer
-    (skew-safe buckets) -> label join on the key -> encoding maps (one aggregate pass,
-    broadcast after a size check)."""
+    Plan: scan -> per-order line roll-up join -> date columns -> label join on the key ->
+    encoding maps (one aggregate pass, broadcast after a size check) -> ordered scan by
+    customer (skew-safe buckets), whose key partitioning the customer aggregate reuses."""
     s = add_date_features(statements(spark, sf_dir))
-    s = order_history(s, **scan_kw)
     s = label_join(s, train_labels(spark, sf_dir))
     fit_rows = s.where(~F.col("is_test"))
     if fit_filter is not None:
         fit_rows = fit_rows.where(fit_filter)
     enc = fit_target_encoding(fit_rows, TE_SOURCE)
-    return apply_target_encoding(s, enc, TE_SOURCE)
+    s = apply_target_encoding(s, enc, TE_SOURCE)          # broadcast lookups: no shuffle
+    return order_history(s, **scan_kw)
 
 
 def customer_features(spark: SparkSession, sf_dir: str, num_aggs=NUMERIC_AGGS, cat_aggs=CATEGORICAL_AGGS,
@@ -46,6 +46,6 @@ def customer_features(spark: SparkSession, sf_dir: str, num_aggs=NUMERIC_AGGS, c
                               cat_aggs or (), strategy=strategy)
     if diffs:
         feats = add_diff_features(feats, NUM_COLS)
-    train = spine_join(train_labels(spark, sf_dir), feats)
-    test = spine_join(test_spine(spark, sf_dir), feats)
-    return union_train_test(train, test)
+    # one spine (training labels + test list), one join: the aggregate is planned once
+    spine = union_train_test(train_labels(spark, sf_dir), test_spine(spark, sf_dir))
+    return spine_join(spine, feats)
