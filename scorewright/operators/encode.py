@@ -22,6 +22,21 @@ def fit_target_encoding(df: DataFrame, cols: list[str], target: str = "target")
     return long.groupBy("feature", "value").agg(F.avg("_y").alias("te"))
 
 
+def fit_target_encoding_by_key(rows: DataFrame, labels: DataFrame, cols: list[str], key: str = "customer_id",
+                               target: str = "target") -> DataFrame:
+    """Same statement-weighted means, with the rows pre-aggregated before they meet the labels:
+    ``(key, feature, value) -> count`` (partial aggregation: a customer with a third of all
+    statements collapses to a few rows per map task), joined to the key-level labels, then
+    ``sum(count * target) / sum(count)`` per category. Only narrow rows are shuffled."""
+    long = (rows.select(key, *[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([key], cols, "feature", "value").where(F.col("value").isNotNull()))
+    counts = long.groupBy(key, "feature", "value").agg(F.count(F.lit(1)).alias("_n"))
+    lab = labels.select(key, F.col(target).cast("double").alias("_y")).where(F.col("_y").isNotNull())
+    j = counts.join(lab, on=key, how="inner")
+    return j.groupBy("feature", "value").agg(
+        (F.sum(F.col("_n") * F.col("_y")) / F.sum("_n")).alias("te"))
+
+
 def apply_target_encoding(df: DataFrame, encoding: DataFrame, cols: list[str], suffix: str = "_te",
                           broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Add ``<col><suffix>`` for each column by a left join on the category value. The map

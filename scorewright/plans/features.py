@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from scorewright.operators.aggregate import (CATEGORICAL_AGGS, NUMERIC_AGGS, add_diff_features,
                                              aggregate_history)
 from scorewright.operators.dates import DATE_FEATURES, add_date_features
-from scorewright.operators.encode import apply_target_encoding, fit_target_encoding
+from scorewright.operators.encode import apply_target_encoding, fit_target_encoding_by_key
 from scorewright.operators.history import order_history
 from scorewright.operators.joins import label_join, spine_join, union_train_test
 from scorewright.sources.fixtures import (KEY, STATEMENT_CATEGORICAL, STATEMENT_MEASURES, statements,
@@ -19,21 +19,24 @@ NUM_COLS = STATEMENT_MEASURES + ["days_diff"] + DATE_FEATURES + TE_COLS
 CAT_COLS = list(STATEMENT_CATEGORICAL)
 
 
-def statement_features(spark: SparkSession, sf_dir: str, fit_filter=None, **scan_kw) -> DataFrame:
-    """Statements with date features, history position ``rn``, ``days_diff``, ``target``
-    (NULL for test customers) and target-encoded categoricals.
+def statement_features(spark: SparkSession, sf_dir: str, fit_filter=None, with_target: bool = True,
+                       **scan_kw) -> DataFrame:
+    """Statements with date features, target-encoded categoricals, history position ``rn``,
+    ``days_diff`` and (``with_target``) the customer's ``target`` (NULL for test customers).
 
-    Plan: scan -> per-order line roll-up join -> date columns -> label join on the key ->
-    encoding maps (one aggregate pass, broadcast after a size check) -> ordered scan by
-    customer (skew-safe buckets), whose key partitioning the customer aggregate reuses."""
-    s = add_date_features(statements(spark, sf_dir))
-    s = label_join(s, train_labels(spark, sf_dir))
-    fit_rows = s.where(~F.col("is_test"))
+    Plan: the encoding maps are fitted from a narrow projection pre-aggregated per
+    (customer, category) before it meets the customer labels, materialised once and
+    broadcast after a size check; applying them needs no shuffle. The ordered scan by
+    customer (skew-safe buckets) is the only shuffle of the wide statement rows; the customer
+    aggregate and a statement-level label join reuse its key partitioning."""
+    base = add_date_features(statements(spark, sf_dir))
+    labels = train_labels(spark, sf_dir)
+    fit_rows = base.where(~F.col("is_test"))
     if fit_filter is not None:
         fit_rows = fit_rows.where(fit_filter)
-    enc = fit_target_encoding(fit_rows, TE_SOURCE)
-    s = apply_target_encoding(s, enc, TE_SOURCE)          # broadcast lookups: no shuffle
-    return order_history(s, **scan_kw)
+    enc = fit_target_encoding_by_key(fit_rows, labels, TE_SOURCE, KEY)
+    s = order_history(apply_target_encoding(base, enc, TE_SOURCE), **scan_kw)
+    return label_join(s, labels) if with_target else s
 
 
 def customer_features(spark: SparkSession, sf_dir: str, num_aggs=NUMERIC_AGGS, cat_aggs=CATEGORICAL_AGGS,
@@ -41,7 +44,8 @@ def customer_features(spark: SparkSession, sf_dir: str, num_aggs=NUMERIC_AGGS, c
                       **scan_kw) -> DataFrame:
     """One row per label-spine customer (train: with target; test: without), is_test flag,
     ``<col>_<agg>`` for the numeric and categorical bundles, plus difference features."""
-    s = statements_df if statements_df is not None else statement_features(spark, sf_dir, **scan_kw)
+    s = statements_df if statements_df is not None else \
+        statement_features(spark, sf_dir, with_target=False, **scan_kw)
     feats = aggregate_history(s, KEY, "rn", NUM_COLS, CAT_COLS if cat_aggs else [], num_aggs,
                               cat_aggs or (), strategy=strategy)
     if diffs:
