@@ -9,11 +9,14 @@ from scorewright.session import cut_lineage
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
-def checked_small(df: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """Materialise a (presumably small) derived table once through a reliable checkpoint
-    and report whether its row count is within ``limit_rows``. Callers broadcast it only
-    then; otherwise they fall back to a shuffle join (with AQE skew handling)."""
-    m = cut_lineage(df)
+def checked_small(df: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT,
+                  materialize: bool = True) -> tuple[DataFrame, bool]:
+    """Report whether a (presumably small) derived table has at most ``limit_rows`` rows.
+    Callers broadcast it only then; otherwise they fall back to a shuffle join (with AQE
+    skew handling). With ``materialize`` the table is first written through a reliable
+    checkpoint (for tables derived from an expensive plan); without it, it is only counted
+    (for tables derived from an input that is already materialised)."""
+    m = cut_lineage(df) if materialize else df
     return m, m.count() <= limit_rows
 
 

@@ -34,7 +34,7 @@ def _attach(df: DataFrame, totals: DataFrame, pk: list[str]) -> DataFrame:
     if not pk:
         return (df.withColumn("_k", F.lit(1))
                 .join(F.broadcast(totals.withColumn("_k", F.lit(1))), "_k").drop("_k"))
-    totals, small = checked_small(totals)
+    totals, small = checked_small(totals, materialize=False)
     return df.join(F.broadcast(totals) if small else totals, on=pk, how="inner")
 
 

@@ -30,7 +30,7 @@ def score_ranks(df: DataFrame, score: str, partition_by: list[str] = ()) -> Data
     ranks = scanned.select(*pk, score, (F.col("_cum") - (F.col("_c") - F.lit(1)) / F.lit(2.0)).alias("avg_rank"))
     totals = counts.groupBy(*pk).agg(F.sum("_c").alias("n"))
     if pk:
-        totals, small = checked_small(totals)
+        totals, small = checked_small(totals, materialize=False)
         return ranks.join(F.broadcast(totals) if small else totals, on=pk, how="left")
     # no partition: the total is one row, attached by a broadcast equi-join on a constant
     return (ranks.withColumn("_k", F.lit(1))

@@ -198,6 +198,20 @@ def q_fold_average(spark, sf_dir):
     return comparable(fold_average(fold_scores(spark, sf_dir)))
 
 
+@register("prediction_csv_roundtrip", W + ",\nf AS (SELECT t.customer_id, " + O.score_sql("'fold'", "k.fold", "t.customer_id", "t.truth")
+          + " AS prediction FROM truth t CROSS JOIN (VALUES (0), (1), (2), (3), (4)) k(fold) WHERE t.is_test)\n"
+          "SELECT customer_id, CAST(AVG(prediction) AS FLOAT) AS prediction FROM f GROUP BY customer_id")
+def q_prediction_csv_roundtrip(spark, sf_dir):
+    """Fold-averaged test scores written as a submission CSV and read back with an explicit
+    schema (A2, A3, A6): the file path is in the shared checkpoint folder."""
+    import uuid
+    from scorewright.session import shared_dir
+    from scorewright.sources.feature_store import read_predictions, write_predictions
+    path = shared_dir(spark, f"submissions/{uuid.uuid4().hex}")
+    write_predictions(fold_average(fold_scores(spark, sf_dir)), path)
+    return comparable(read_predictions(spark, path))
+
+
 # --- step 7: ensembles ------------------------------------------------------------------------------
 
 _PIVOT = ", ".join(f"MAX(CASE WHEN model = '{m}' THEN prediction END) AS prediction_{m}" for m in MODELS)

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is a sequence of batch steps with no watermark, trigger, window or
+state anywhere, so there is no streaming operator to rebuild. Every operator in this
+package is a DataFrame -> DataFrame function and runs unchanged on the micro-batches of a
+``foreachBatch`` sink, should incremental scoring ever be wanted.
+"""
