@@ -61,23 +61,26 @@ def metric_components(df: DataFrame, label: str = "target", score: str = "predic
     if threshold == "int":
         inside = F.col("_cw") * F.lit(25) <= w_total
     else:
-        inside = (F.col("_cw") / w_total) <= F.lit(0.04)
+        inside = F.try_divide(F.col("_cw"), w_total) <= F.lit(0.04)
     return j.groupBy(*pk, "P", "N").agg(
         F.sum(F.col("_cp") * F.col("_w")).alias("S1"),
         F.sum(F.when(inside, F.col("_y")).otherwise(F.lit(0))).alias("captured"))
 
 
 def _scores(comp: DataFrame, gmax: str) -> dict[str, Column]:
+    """Gini, capture and their mean. Divisions use ``try_divide``: a partition without
+    positives or negatives has no metric (NULL) instead of failing the job under ANSI mode."""
     P, N, S1 = F.col("P"), F.col("N"), F.col("S1")
+    div = F.try_divide
     W = P + F.lit(20) * N
-    Q = (W * W + P + F.lit(400) * N) / F.lit(2)
-    g_pred = S1 / P - Q / W
+    Q = div(W * W + P + F.lit(400) * N, F.lit(2))
+    g_pred = div(S1, P) - div(Q, W)
     if gmax == "perfect":
-        g_max = (P * (P + F.lit(1)) / F.lit(2) + F.lit(20) * N * P) / P - Q / W
+        g_max = div(div(P * (P + F.lit(1)), F.lit(2)) + F.lit(20) * N * P, P) - div(Q, W)
     else:
-        g_max = F.lit(10) * N * (P + F.lit(20) * N - F.lit(19)) / W
-    gini = g_pred / g_max
-    capture = F.col("captured") / P
+        g_max = div(F.lit(10) * N * (P + F.lit(20) * N - F.lit(19)), W)
+    gini = div(g_pred, g_max)
+    capture = div(F.col("captured"), P)
     return {"gini": gini, "capture": capture, "metric": F.lit(0.5) * (gini + capture)}
 
 
@@ -111,7 +114,8 @@ def roc_points(df: DataFrame, label: str = "target", score: str = "prediction")
     s = ordered_scan(g, [], ["_ord"], sums={"_tp": F.col("_pos"), "_fp": F.col("_neg")})
     totals = d.agg(F.sum(y).alias("P"), F.sum(F.lit(1) - y).alias("N"))
     j = _attach(s, totals, [])
-    return j.select("threshold", (F.col("_tp") / F.col("P")).alias("tpr"), (F.col("_fp") / F.col("N")).alias("fpr"))
+    return j.select("threshold", F.try_divide(F.col("_tp"), F.col("P")).alias("tpr"),
+                    F.try_divide(F.col("_fp"), F.col("N")).alias("fpr"))
 
 
 class CompetitionEvaluator(Evaluator):

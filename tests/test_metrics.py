@@ -100,3 +100,10 @@ def test_roc_endpoints(spark):
     pts = sorted(roc_points(df, "y", "s").collect(), key=lambda r: -r["threshold"])
     assert pts[-1]["tpr"] == 1.0 and pts[-1]["fpr"] == 1.0
     assert all(a["tpr"] <= b["tpr"] and a["fpr"] <= b["fpr"] for a, b in zip(pts, pts[1:]))
+
+
+def test_degenerate_partition_gives_null_not_error(spark):
+    df = spark.createDataFrame([(1, 0, 0.3), (2, 0, 0.6), (3, 1, 0.5), (4, 0, 0.1)], "id long, y long, s double") \
+        .withColumn("fold", F.when(F.col("id") <= 2, 0).otherwise(1))
+    got = {r["fold"]: r for r in combined_metric(df, "y", "s", "id", partition_by=["fold"]).collect()}
+    assert got[0]["metric"] is None and got[1]["capture"] is not None
