@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from scorewright.functions.hashing import unit_score
 from scorewright.functions.numeric import comparable
 from scorewright.operators.aggregate import SCORE_AGGS
-from scorewright.operators.ensemble import (EXTERNAL_BLEND, SEED_AVG_WEIGHTS, best_candidate, evaluate_candidates,
-                                            external_blend, pivot_models, seed_average, simplex_grid,
-                                            weighted_blend)
+from scorewright.operators.ensemble import (BY_AGG_SELECTED, BY_AGG_WEIGHTS, EXTERNAL_BLEND, SEED_AVG_WEIGHTS,
+                                            best_candidate, evaluate_candidates, external_blend, pivot_models,
+                                            rank_pivot, seed_average, simplex_grid, weighted_blend)
 from scorewright.operators.folds import group_folds, group_stratified_folds, stratified_folds
 from scorewright.operators.joins import spine_join, union_train_test
 from scorewright.operators.metrics import combined_metric, logloss, roc_points
@@ -18,7 +18,7 @@ from scorewright.operators.stack import fold_average, score_diff, score_features
 from scorewright.plans import oracle as O
 from scorewright.plans.registry import register
 from scorewright.sources.fixtures import KEY, statements, test_spine, train_labels
-from scorewright.sources.predictions import (MODELS, external_scores, fold_scores, prediction_long,
+from scorewright.sources.predictions import (AGG_MODELS, MODELS, external_scores, fold_scores, prediction_long,
                                              statement_scores)
 from scorewright.sources.tables import read_table
 
@@ -296,3 +296,68 @@ def q_blend_weight_search(spark, sf_dir):
     wide = pivot_models(sa, list(MODELS)).join(train_labels(spark, sf_dir), on=KEY, how="inner")
     scored = evaluate_candidates(wide, list(MODELS), simplex_grid(len(MODELS), GRID_STEPS))
     return comparable(best_candidate(scored, list(MODELS)))
+
+
+# --- by aggregate type (13 predictions, 4 enter the blend) ---------------------------------------
+
+def _by_agg_wide(spark, sf_dir):
+    """Seed-averaged ensemble and the twelve single-aggregate models, each rank-normalised,
+    one column per prediction, joined on the customer (the reference's 13-way merge)."""
+    sa = seed_average(_oof(spark, sf_dir).drop("target"))
+    own = weighted_blend(pivot_models(sa, list(MODELS)), SEED_AVG_WEIGHTS).select(KEY, "prediction")
+    own = rank_normalize(own, "prediction", out="prediction_seed_avg").select(KEY, "prediction_seed_avg")
+    aggs = prediction_long(spark, sf_dir, "oof", models=AGG_MODELS, seeds=(42,)).drop("seed", "target")
+    wide = rank_pivot(aggs, list(AGG_MODELS))
+    return wide.join(own, on=KEY, how="left").join(train_labels(spark, sf_dir), on=KEY, how="inner")
+
+
+def _by_agg_ctes() -> str:
+    grid = ", ".join(f"('{m}', 42)" for m in AGG_MODELS)
+    aggs = (f"pa AS (SELECT t.customer_id, g.model, "
+            f"{O.score_sql('g.model', 'g.seed', 't.customer_id', 't.truth')} AS prediction "
+            f"FROM truth t CROSS JOIN (VALUES {grid}) g(model, seed) WHERE NOT t.is_test),\n"
+            f"pr AS (SELECT customer_id, model, {O.rank_norm_sql('prediction', ['model'])} AS prediction FROM pa),\n"
+            "pw AS (SELECT customer_id, " + ", ".join(
+                f"MAX(CASE WHEN model = '{m}' THEN prediction END) AS prediction_{m}" for m in AGG_MODELS)
+            + " FROM pr GROUP BY customer_id)")
+    own = (f"own AS (SELECT customer_id, {_blend_expr()} AS prediction FROM sw),\n"
+           f"ownr AS (SELECT customer_id, {O.rank_norm_sql('prediction', [])} AS prediction_seed_avg FROM own),\n"
+           "o AS (SELECT pw.*, ownr.prediction_seed_avg, lab.target FROM pw LEFT JOIN ownr USING (customer_id) "
+           "JOIN lab USING (customer_id))")
+    return (W + ",\n" + O.pred_long_cte("p") + ",\n" + _seed_avg_ctes("p") + ",\n" + _SA_PIVOT + ",\n" + aggs
+            + ",\n" + own)
+
+
+_BY_AGG_BLEND = " + ".join(f"{w}::DOUBLE * prediction_{m}" for m, w in BY_AGG_WEIGHTS.items())
+
+
+@register("blend_by_agg", _by_agg_ctes() + f"\nSELECT customer_id, CAST({_BY_AGG_BLEND} AS FLOAT) AS prediction FROM o")
+def q_blend_by_agg(spark, sf_dir):
+    """The by-aggregate-type blend with the reference's fixed weights (I15 over I17's selection)."""
+    wide = _by_agg_wide(spark, sf_dir)
+    return comparable(weighted_blend(wide, BY_AGG_WEIGHTS).select(KEY, "prediction"))
+
+
+BY_AGG_STEPS = 10
+
+
+def _by_agg_search_sql() -> str:
+    cands = simplex_grid(len(BY_AGG_SELECTED), BY_AGG_STEPS)
+    wcols = ", ".join(f"w_{m}" for m in BY_AGG_SELECTED)
+    vals = ", ".join(f"({i}, " + ", ".join(f"{w!r}::DOUBLE" for w in c) + ")" for i, c in enumerate(cands))
+    blend = " + ".join(f"c.w_{m} * o.prediction_{m}" for m in BY_AGG_SELECTED)
+    return (_by_agg_ctes() + ",\n"
+            f"cands AS (SELECT * FROM (VALUES {vals}) v(cand, {wcols})),\n"
+            f"b AS (SELECT c.cand, o.customer_id, o.target, {blend} AS s FROM o CROSS JOIN cands c),\n"
+            + O.metric_ctes("b", ["cand"], "target", "s", "customer_id") +
+            "\nSELECT " + ", ".join(f"CAST(w_{m} AS FLOAT) AS w_{m}" for m in BY_AGG_SELECTED) +
+            ", CAST(metric AS FLOAT) AS metric FROM m_r JOIN cands USING (cand) ORDER BY metric DESC, cand ASC LIMIT 1")
+
+
+@register("blend_by_agg_search", _by_agg_search_sql())
+def q_blend_by_agg_search(spark, sf_dir):
+    """Weight search over the four selected predictions of the 13 (I14, I17): 286 simplex
+    candidates at step 1/10, scored in one job."""
+    wide = _by_agg_wide(spark, sf_dir)
+    scored = evaluate_candidates(wide, BY_AGG_SELECTED, simplex_grid(len(BY_AGG_SELECTED), BY_AGG_STEPS))
+    return comparable(best_candidate(scored, BY_AGG_SELECTED))

@@ -13,6 +13,7 @@ from scorewright.functions.hashing import unit_score
 from scorewright.sources.fixtures import KEY, customer_truth, statements
 
 MODELS = ("lgbm", "cb", "xgb")
+AGG_MODELS = tuple(f"{m}_{a}" for m in MODELS for a in ("last", "mean", "max", "min"))
 SEEDS = (42, 52, 62)
 
 
