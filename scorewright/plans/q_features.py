@@ -234,3 +234,44 @@ def q_feature_store_roundtrip(spark, sf_dir):
     path = shared_dir(spark, f"feature_store/{uuid.uuid4().hex}")
     write_features(g, path)
     return comparable(read_features(spark, path))
+
+
+# --- fixture E: the same customer aggregation over an event stream ------------------------------
+
+_EV_NUM = ["value", "days_diff"]
+_EV_FLOAT = {"value": True, "days_diff": False}
+
+
+def _event_agg_sql() -> str:
+    raw, outs = [], []
+    for c in _EV_NUM:
+        for a in NUMERIC_AGGS:
+            raw.append(f"{O.agg_sql(a, c)[0]} AS {c}_{a}")
+            fl = O.agg_sql(a, c)[1]
+            outs.append(O.f(f"{c}_{a}", f"{c}_{a}", _EV_FLOAT[c] if fl is None else fl))
+    for a in CATEGORICAL_AGGS:
+        raw.append(f"{O.agg_sql(a, 'event_code')[0]} AS event_code_{a}")
+        outs.append(f"event_code_{a}")
+    for c in _EV_NUM:
+        for name, a, b in DIFF_FEATURES:
+            fl = _EV_FLOAT[c] or a == "mean" or b == "mean"
+            outs.append(O.f(f"{c}_{a} - {c}_{b}", f"{c}_{name}", fl))
+    codes = " ".join(f"WHEN '{k}' THEN {v}" for k, v in
+                     {"click": 0, "error": 1, "purchase": 2, "signup": 3, "view": 4}.items())
+    return ("WITH e0 AS (SELECT user_id AS customer_id, event_id AS seq, epoch_us(ts) AS ts_us, CAST(value AS DOUBLE) "
+            f"AS value, CAST(CASE event_type {codes} END AS INTEGER) AS event_code FROM events WHERE user_id IS NOT NULL),\n"
+            "e1 AS (SELECT e0.*, row_number() OVER (PARTITION BY customer_id ORDER BY ts_us, seq) AS rn, "
+            "CAST(floor((ts_us - lag(ts_us) OVER (PARTITION BY customer_id ORDER BY ts_us, seq)) / 86400000000.0::DOUBLE) "
+            "AS BIGINT) AS days_diff FROM e0),\n"
+            f"g AS (SELECT customer_id, {', '.join(raw)} FROM e1 GROUP BY customer_id)\n"
+            f"SELECT customer_id, {', '.join(outs)} FROM g")
+
+
+@register("event_agg", _event_agg_sql())
+def q_event_agg(spark, sf_dir):
+    """Fixture E through the same operators: ordered history with microsecond timestamps
+    (floored day lags), the numeric and categorical bundles and the difference features."""
+    from scorewright.operators.aggregate import add_diff_features
+    e = order_history(events_statements(spark, sf_dir))
+    g = aggregate_history(e, "customer_id", "rn", _EV_NUM, ["event_code"])
+    return comparable(add_diff_features(g, _EV_NUM))

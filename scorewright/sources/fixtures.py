@@ -23,15 +23,21 @@ STATEMENT_NUMERIC = STATEMENT_MEASURES  # before derived features are added
 
 # Integer codes of o_orderstatus.
 STATUS_CODES = {"F": 0, "O": 1, "P": 2}
+# Integer codes of events.event_type (unknown types stay NULL).
+EVENT_CODES = {"click": 0, "error": 1, "purchase": 2, "signup": 3, "view": 4}
 
 
-def _status_code(c):
+def _code(c, codes: dict[str, int]):
     expr = None
-    for k, v in STATUS_CODES.items():
+    for k, v in codes.items():
         expr = (F.when(c == k, F.lit(v)) if expr is None else expr.when(c == k, F.lit(v)))
     return expr.cast("int")
 
 
+def _status_code(c):
+    return _code(c, STATUS_CODES)
+
+
 def line_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order roll-up of line items (one partial-aggregated shuffle by order key)."""
     li = read_table(spark, sf_dir, "lineitem")
@@ -76,6 +82,7 @@ def events_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
         epoch_micros("ts").alias(TS_US),
         F.col("value").cast("double").alias("value"),
         F.col("event_type"),
+        _code(F.col("event_type"), EVENT_CODES).alias("event_code"),
     ).where(F.col(KEY).isNotNull())
 
 
