@@ -37,3 +37,15 @@ def test_global_scan_without_partition(spark):
     exp = sorted(df.withColumn("rn", F.row_number().over(w)).select("id", "rn").collect())
     got = ordered_scan(df, [], ["t", "id"], sums={"rn": F.lit(1)}, rows_per_bucket=300)
     assert sorted(got.select("id", "rn").collect()) == exp
+
+
+def test_hot_group_is_split_evenly(spark):
+    from scorewright.operators.ordered import plan_buckets
+    # one key holds a third of all rows, all on the same timestamp (ties broken by id)
+    rows = [(0 if i % 3 == 0 else i, 5 if i % 3 == 0 else i % 50, i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g long, t long, id long")
+    bkt, cuts = plan_buckets(df, ["g", "t", "id"], rows_per_bucket=500)
+    assert cuts >= 8
+    sizes = [r["count"] for r in df.withColumn("b", bkt).groupBy("b").count().collect()]
+    hot = df.withColumn("b", bkt).where("g = 0").select("b").distinct().count()
+    assert max(sizes) <= 2 * 6000 / (cuts + 1) and hot >= 3
