@@ -59,10 +59,11 @@ def _bucket_expr(df: DataFrame, key_cols: list[str], bounds: list[tuple]) -> Col
 
 
 def plan_buckets(df: DataFrame, key_cols: list[str], *, rows_per_bucket: int = ROWS_PER_BUCKET,
-                 max_buckets: int = MAX_BUCKETS, seed: int = 17) -> tuple[Column, int]:
+                 max_buckets: int = MAX_BUCKETS, seed: int = 17, n_rows: int | None = None) -> tuple[Column, int]:
     """Bucket id over the lexicographic order of ``key_cols`` and the number of cut points
-    (one count, plus one bounded sample when more than one bucket is needed)."""
-    n = df.count()
+    (one count unless ``n_rows`` is known, plus one bounded sample when more than one
+    bucket is needed)."""
+    n = df.count() if n_rows is None else n_rows
     nb = max(1, min(max_buckets, math.ceil(n / max(rows_per_bucket, 1))))
     if nb == 1:
         return F.lit(0), 0
@@ -73,7 +74,7 @@ def plan_buckets(df: DataFrame, key_cols: list[str], *, rows_per_bucket: int = R
 def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list[str], *,
                  sums: dict[str, Column] | None = None, lags: dict[str, Column] | None = None,
                  rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                 seed: int = 17) -> DataFrame:
+                 seed: int = 17, n_rows: int | None = None) -> DataFrame:
     """Add inclusive running sums and previous-row values within ``partition_by`` groups,
     ordered ascending by ``order_by``.
 
@@ -88,7 +89,7 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list[str], *,
     pk = list(partition_by)
     key_cols = pk + list(order_by)
     bkt, n_cuts = plan_buckets(df, key_cols, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets,
-                               seed=seed)
+                               seed=seed, n_rows=n_rows)
     d = df.withColumn("_bkt", bkt)
     for name, expr in lags.items():
         d = d.withColumn(f"_v_{name}", expr)
