@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
 SAMPLES_PER_BUCKET = 40
+# session-level override of ROWS_PER_BUCKET (e.g. smaller on executors with little memory)
+ROWS_PER_BUCKET_CONF = "scorewright.ordered.rowsPerBucket"
 
 
 def _sample_bounds(df: DataFrame, key_cols: list[str], n_rows: int, n_buckets: int,
@@ -58,11 +60,14 @@ def _bucket_expr(df: DataFrame, key_cols: list[str], bounds: list[tuple]) -> Col
     return tree(0, len(bounds))
 
 
-def plan_buckets(df: DataFrame, key_cols: list[str], *, rows_per_bucket: int = ROWS_PER_BUCKET,
+def plan_buckets(df: DataFrame, key_cols: list[str], *, rows_per_bucket: int | None = None,
                  max_buckets: int = MAX_BUCKETS, seed: int = 17, n_rows: int | None = None) -> tuple[Column, int]:
     """Bucket id over the lexicographic order of ``key_cols`` and the number of cut points
     (one count unless ``n_rows`` is known, plus one bounded sample when more than one
-    bucket is needed)."""
+    bucket is needed). ``rows_per_bucket`` defaults to the session setting
+    ``scorewright.ordered.rowsPerBucket``, else ``ROWS_PER_BUCKET``."""
+    if rows_per_bucket is None:
+        rows_per_bucket = int(df.sparkSession.conf.get(ROWS_PER_BUCKET_CONF, str(ROWS_PER_BUCKET)))
     n = df.count() if n_rows is None else n_rows
     nb = max(1, min(max_buckets, math.ceil(n / max(rows_per_bucket, 1))))
     if nb == 1:
@@ -73,7 +78,7 @@ def plan_buckets(df: DataFrame, key_cols: list[str], *, rows_per_bucket: int = R
 
 def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list[str], *,
                  sums: dict[str, Column] | None = None, lags: dict[str, Column] | None = None,
-                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+                 rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
                  seed: int = 17, n_rows: int | None = None) -> DataFrame:
     """Add inclusive running sums and previous-row values within ``partition_by`` groups,
     ordered ascending by ``order_by``.

@@ -86,12 +86,11 @@ def test_bucketed_metric_equals_single_bucket(spark):
     rows = _rows(2000, seed=11)
     df = spark.createDataFrame(rows, "id long, y long, s double")
     one = combined_metric(df, "y", "s", "id").first()
-    old = od.ROWS_PER_BUCKET
     try:
-        od.ordered_scan.__kwdefaults__["rows_per_bucket"] = 150
+        spark.conf.set(od.ROWS_PER_BUCKET_CONF, "150")
         many = combined_metric(df, "y", "s", "id").first()
     finally:
-        od.ordered_scan.__kwdefaults__["rows_per_bucket"] = old
+        spark.conf.unset(od.ROWS_PER_BUCKET_CONF)
     assert one == many
 
 
