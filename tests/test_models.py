@@ -48,3 +48,13 @@ def test_random_search_history(spark):
     assert hist.count() == 2 and {"trial", "max_depth", "value"} <= set(hist.columns)
     b = best_trial(hist).first()
     assert b["value"] == min(r["value"] for r in hist.collect())
+
+
+def test_same_seed_same_scores(spark):
+    df = _planted(spark, 300)
+    learner = small_budget(FAMILIES["gbdt_deep"], 4)
+    a, _, _ = train_oof(df, None, ["signal", "noise", "sparse"], learner, id_cols=["customer_id"], seed=7,
+                        importance=False)
+    b, _, _ = train_oof(df.repartition(3), None, ["signal", "noise", "sparse"], learner, id_cols=["customer_id"],
+                        seed=7, importance=False)
+    assert sorted(a.collect()) == sorted(b.collect())
