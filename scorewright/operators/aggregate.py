@@ -36,8 +36,32 @@ def small_codes(df: DataFrame, cols: list[str]) -> bool:
                for i in range(len(cols)))
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def agg_expr(agg: str, col: str | Column, order: str, mask_nunique: bool = False) -> Column:
-    x = F.col(col) if isinstance(col, str) else col
+    """One aggregate. For a column name it is built as a single SQL expression (one JVM
+    round trip per aggregate, which matters for bundles of hundreds of columns)."""
+    if isinstance(col, str):
+        x, o = _q(col), _q(order)
+        present = f"CASE WHEN {x} IS NOT NULL THEN {o} END"
+        sql = {
+            "mean": f"avg({x})",
+            "std": f"stddev_samp({x})",
+            "min": f"min({x})",
+            "max": f"max({x})",
+            "sum": f"coalesce(sum({x}), CAST(0.0 AS DOUBLE))",
+            "last": f"max_by({x}, {present})",
+            "first": f"min_by({x}, {present})",
+            "count": f"count({x})",
+            "nunique": (f"CAST(coalesce(bit_count(bit_or(shiftleft(CAST(1 AS BIGINT), CAST({x} AS INT)))), 0) AS BIGINT)"
+                        if mask_nunique else f"CAST(size(collect_set({x})) AS BIGINT)"),
+        }
+        if agg not in sql:
+            raise ValueError(f"unknown aggregate {agg!r}")
+        return F.expr(sql[agg])
+    x = col
     present_order = F.when(x.isNotNull(), F.col(order))
     if agg == "mean":
         return F.avg(x)
@@ -96,9 +120,7 @@ def aggregate_history(df: DataFrame, key: str, order: str, numeric: list[str],
 
 
 def add_diff_features(df: DataFrame, numeric: list[str]) -> DataFrame:
-    """<c>_last_mean_diff, <c>_last_first_diff, <c>_max_min_diff."""
-    adds = {}
-    for c in numeric:
-        for name, a, b in DIFF_FEATURES:
-            adds[f"{c}_{name}"] = F.col(f"{c}_{a}") - F.col(f"{c}_{b}")
-    return df.withColumns(adds)
+    """<c>_last_mean_diff, <c>_last_first_diff, <c>_max_min_diff (B14), in one projection."""
+    adds = [f"{_q(c + '_' + a)} - {_q(c + '_' + b)} AS {_q(c + '_' + name)}"
+            for c in numeric for name, a, b in DIFF_FEATURES]
+    return df.selectExpr("*", *adds)
