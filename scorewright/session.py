@@ -55,6 +55,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never localCheckpoint): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a table written to the shared checkpoint folder (never
+    ``localCheckpoint``): Parquet, read back with the same schema. Survives executor loss,
+    is columnar and compressed (an RDD checkpoint would Java-serialise every row), and the
+    read-back plan carries real file sizes for the optimizer's join choices."""
+    import uuid
+    spark = df.sparkSession
+    path = shared_dir(spark, f"tables/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
