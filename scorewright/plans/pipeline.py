@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scorewright.operators.ensemble import (best_candidate, evaluate_candidates, external_blend, pivot_models,
                                             seed_average, simplex_grid, weighted_blend)
-from scorewright.operators.folds import stratified_folds
+from scorewright.operators.folds import group_folds, stratified_folds
 from scorewright.operators.importance import importance_totals
 from scorewright.operators.joins import union_train_test
 from scorewright.operators.metrics import combined_metric, logloss
-from scorewright.operators.models import FAMILIES, Learner, train_oof
+from scorewright.operators.models import FAMILIES, Learner, best_trial, random_search, train_oof
 from scorewright.operators.stack import score_features, stack_onto
 from scorewright.plans.features import customer_features, statement_features
 from scorewright.plans.training import EXCLUDED, STATEMENT_FEATURES, small_budget, statement_model
@@ -30,8 +30,7 @@ from scorewright.session import cut_lineage
 from scorewright.sources.feature_store import (read_predictions, write_features, write_manifest,
                                                write_predictions)
 from scorewright.sources.fixtures import KEY, train_labels
-
-SEEDS = (42, 52, 62)
+from scorewright.sources.predictions import SEEDS
 
 
 def _families(budget: int | None) -> dict[str, Learner]:
@@ -39,8 +38,12 @@ def _families(budget: int | None) -> dict[str, Learner]:
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget: int | None = None,
-        grid_steps: int = 10, external_csv: str | None = None, parallelism: int = 2) -> dict:
-    """Run every step; returns a summary with output paths and out-of-fold scores."""
+        grid_steps: int = 10, external_csv: str | None = None, parallelism: int = 2,
+        exclude=EXCLUDED, search_trials: int = 0) -> dict:
+    """Run every step; returns a summary with output paths and out-of-fold scores.
+    ``search_trials > 0`` first searches the statement model's parameters with group folds
+    and writes the best ones into the statement-feature manifest (the reference's search
+    step)."""
     out = out_dir.rstrip("/")
     local_out = not out.startswith(("hdfs:", "s3", "gs:", "abfs", "dbfs:"))
     if local_out:
@@ -50,8 +53,17 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget:
     # 1. statement-level features (feature store + manifest)
     s = cut_lineage(statement_features(spark, sf_dir))
     names = write_features(s.drop("ts"), f"{out}/feats/statement", partition_by="is_test")
+    params = None
+    if search_trials > 0:
+        tr = s.where(~F.col("is_test"))
+        tr = tr.join(group_folds(tr).select(KEY, "fold"), KEY, "inner")
+        hist = random_search(tr, STATEMENT_FEATURES, n_trials=search_trials, max_iter=budget or 100,
+                             parallelism=parallelism)
+        hist.coalesce(1).write.mode("overwrite").csv(f"{out}/output/search_trials", header=True)
+        params = {k: v for k, v in best_trial(hist).first().asDict().items() if k not in ("trial", "value")}
+        summary["search_best"] = params
     if local_out:
-        write_manifest(names, f"{out}/statement_features.json")
+        write_manifest(names, f"{out}/statement_features.json", params=params)
 
     # 2. statement model: OOF for training statements, fold-averaged for test ones
     sl = _families(budget)["gbdt"]
@@ -64,7 +76,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget:
     feats = cut_lineage(stack_onto(customer_features(spark, sf_dir, statements_df=s.drop("target")),
                                    score_features(scores)))
     write_features(feats, f"{out}/feats/customer", partition_by="is_test")
-    cols = [c for c in feats.columns if c not in EXCLUDED]
+    cols = [c for c in feats.columns if c not in exclude]
 
     # 4. customer models: families x seeds, stratified folds per seed
     long_oof, long_sub = None, None
@@ -115,11 +127,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--budget", type=int, default=None, help="boosting rounds / trees per model")
     ap.add_argument("--seeds", default=",".join(map(str, SEEDS)))
     ap.add_argument("--external-csv", default=None)
+    ap.add_argument("--search-trials", type=int, default=0, help="random-search trials before training")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(a.master) if a.master else SparkSession.builder.getOrCreate()
     print(json.dumps(run(spark, a.sf_dir, a.out_dir, seeds=tuple(int(x) for x in a.seeds.split(",")),
-                         budget=a.budget, external_csv=a.external_csv), default=float))
+                         budget=a.budget, external_csv=a.external_csv, search_trials=a.search_trials),
+                     default=float))
 
 
 if __name__ == "__main__":

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from scorewright.functions.hashing import unit_score
 from scorewright.sources.fixtures import KEY, customer_truth, statements
 
+# The model families and the seeds averaged by the reference's ensemble.
 MODELS = ("lgbm", "cb", "xgb")
-AGG_MODELS = tuple(f"{m}_{a}" for m in MODELS for a in ("last", "mean", "max", "min"))
 SEEDS = (42, 52, 62)
+AGG_MODELS = tuple(f"{m}_{a}" for m in MODELS for a in ("last", "mean", "max", "min"))
 
 
 def _score(model: F.Column, seed: F.Column, id_col: str, truth: str = "truth", ties: bool = False) -> F.Column:
