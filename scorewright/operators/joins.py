@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scorewright.session import cut_lineage
 
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_ROW_LIMIT = 1_000_000
 
 
 def checked_small(df: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT,

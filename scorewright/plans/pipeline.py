@@ -14,13 +14,12 @@ import argparse
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from scorewright.operators.ensemble import (best_candidate, evaluate_candidates, external_blend, pivot_models,
                                             seed_average, simplex_grid, weighted_blend)
 from scorewright.operators.folds import group_folds, stratified_folds
 from scorewright.operators.importance import importance_totals
-from scorewright.operators.joins import union_train_test
 from scorewright.operators.metrics import combined_metric, logloss
 from scorewright.operators.models import FAMILIES, Learner, best_trial, random_search, train_oof
 from scorewright.operators.stack import score_features, stack_onto

@@ -14,7 +14,7 @@ from scorewright.plans import oracle as O
 from scorewright.plans.features import CAT_COLS, NUM_COLS, customer_features, statement_features
 from scorewright.plans.registry import register
 from scorewright.sources.feature_store import read_features, write_features
-from scorewright.sources.fixtures import events_statements, statements, train_labels, test_spine
+from scorewright.sources.fixtures import events_statements, statements, train_labels
 from scorewright.session import shared_dir
 
 # --- step 1 -------------------------------------------------------------------------------
