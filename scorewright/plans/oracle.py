@@ -148,3 +148,11 @@ def metric_ctes(src: str, pk: list[str], y: str, s: str, id_col: str, variant: s
         f"{prefix}_g AS (SELECT {sel}(S1 / P - {Q} / {W}) / {gmax} AS gini, captured / P AS capture "
         f"FROM {prefix}_a),\n"
         f"{prefix}_r AS (SELECT {sel}gini, capture, 0.5::DOUBLE * (gini + capture) AS metric FROM {prefix}_g)")
+
+
+# statement-level scores of the statement model (fixture P) and their in-history difference
+STATEMENT_SCORES = ("ss AS (SELECT s0.customer_id, s0.seq, s0.ts_us, " +
+       score_sql("'stmt'", "0", "s0.seq", "COALESCE(truth.truth, 0)") +
+       " AS pred_no_agg FROM s0 LEFT JOIN truth USING (customer_id)),\n"
+       "sd AS (SELECT ss.*, row_number() OVER (PARTITION BY customer_id ORDER BY ts_us, seq) AS rn, pred_no_agg - "
+       "lag(pred_no_agg) OVER (PARTITION BY customer_id ORDER BY ts_us, seq) AS pred_no_agg_diff FROM ss)")

@@ -77,8 +77,9 @@ def _diff_select(src: str = "g") -> list[str]:
     return out
 
 
-def _customer_sql(num_aggs, cat_aggs, diffs: bool) -> str:
-    """Aggregates in full precision (CTE g), spine joins, then FLOAT casts in the final select."""
+def _customer_sql(num_aggs, cat_aggs, diffs: bool, scores: bool = False) -> str:
+    """Aggregates in full precision (CTE g), spine joins, then FLOAT casts in the final select.
+    ``scores``: also the same aggregates of the statement score and its difference."""
     raw = []
     for c in NUM_COLS:
         for a in num_aggs:
@@ -97,24 +98,37 @@ def _customer_sql(num_aggs, cat_aggs, diffs: bool) -> str:
             outs.append(O.f(f"g.{c}_{a}", f"{c}_{a}", O.IS_FLOAT[c] if fl is None else fl))
     if diffs:
         outs += _diff_select("g")
-    body = (f"g AS (SELECT customer_id, {', '.join(raw)} FROM s3 GROUP BY customer_id),\n"
+    score_cte, score_join = "", ""
+    if scores:
+        sraw = [f"{O.agg_sql(a, c)[0]} AS {c}_{a}" for c in ("pred_no_agg", "pred_no_agg_diff") for a in num_aggs]
+        outs += [f"CAST(sg.{c}_{a} AS FLOAT) AS {c}_{a}" for c in ("pred_no_agg", "pred_no_agg_diff") for a in num_aggs]
+        score_cte = O.STATEMENT_SCORES + f",\nsg AS (SELECT customer_id, {', '.join(sraw)} FROM sd GROUP BY customer_id),\n"
+        score_join = " LEFT JOIN sg USING (customer_id)"
+    body = (score_cte + f"g AS (SELECT customer_id, {', '.join(raw)} FROM s3 GROUP BY customer_id),\n"
             f"sp AS (SELECT customer_id, target, FALSE AS is_test FROM lab UNION ALL "
             f"SELECT customer_id, CAST(NULL AS INTEGER) AS target, TRUE AS is_test FROM tspine)\n"
-            f"SELECT sp.customer_id, sp.target, sp.is_test, {', '.join(outs)} FROM sp LEFT JOIN g USING (customer_id)")
+            f"SELECT sp.customer_id, sp.target, sp.is_test, {', '.join(outs)} FROM sp LEFT JOIN g USING (customer_id)"
+            + score_join)
     return "WITH " + O.STATEMENTS + ",\n" + O.te_ctes() + ",\n" + body
 
 
-def _customer_query(num_aggs, cat_aggs, diffs):
+def _customer_query(num_aggs, cat_aggs, diffs, scores: bool = False):
     def q(spark, sf_dir):
         df = customer_features(spark, sf_dir, num_aggs=num_aggs, cat_aggs=cat_aggs, diffs=diffs)
+        if scores:
+            from scorewright.operators.stack import score_features, stack_onto
+            from scorewright.sources.predictions import statement_scores
+            df = stack_onto(df, score_features(statement_scores(spark, sf_dir), aggs=tuple(num_aggs)))
         return comparable(df)
     return q
 
 
 register("customer_agg", _customer_sql(NUMERIC_AGGS, CATEGORICAL_AGGS, True))(
     _customer_query(NUMERIC_AGGS, CATEGORICAL_AGGS, True))
+# the single-aggregate feature sets also carry that aggregate of the stacked statement score
 for _agg in ("last", "mean", "max", "min"):
-    register(f"agg_{_agg}_only", _customer_sql((_agg,), (_agg,), False))(_customer_query((_agg,), (_agg,), False))
+    register(f"agg_{_agg}_only", _customer_sql((_agg,), (_agg,), False, scores=True))(
+        _customer_query((_agg,), (_agg,), False, scores=True))
 
 
 _CAT_SQL = O.with_statements(

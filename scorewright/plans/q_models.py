@@ -155,11 +155,7 @@ def q_kfold_group(spark, sf_dir):
 
 # --- step 6: stacking ------------------------------------------------------------------------------
 
-_SS = ("ss AS (SELECT s0.customer_id, s0.seq, s0.ts_us, " +
-       O.score_sql("'stmt'", "0", "s0.seq", "COALESCE(truth.truth, 0)") +
-       " AS pred_no_agg FROM s0 LEFT JOIN truth USING (customer_id)),\n"
-       "sd AS (SELECT ss.*, row_number() OVER (PARTITION BY customer_id ORDER BY ts_us, seq) AS rn, pred_no_agg - "
-       "lag(pred_no_agg) OVER (PARTITION BY customer_id ORDER BY ts_us, seq) AS pred_no_agg_diff FROM ss)")
+_SS = O.STATEMENT_SCORES
 
 
 @register("score_diff", W + ",\n" + _SS + "\nSELECT customer_id, seq, CAST(pred_no_agg AS FLOAT) AS pred_no_agg, "
