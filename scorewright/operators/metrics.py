@@ -31,9 +31,11 @@ LOGLOSS_EPS = 1e-15
 
 
 def _attach(df: DataFrame, totals: DataFrame, pk: list[str]) -> DataFrame:
+    """Per-partition totals onto the rows: scalars when there is no partition (one row),
+    else a join on the partition keys, broadcast only when the counted table is small."""
     if not pk:
-        return (df.withColumn("_k", F.lit(1))
-                .join(F.broadcast(totals.withColumn("_k", F.lit(1))), "_k").drop("_k"))
+        row = totals.first()
+        return df.withColumns({c: F.lit(row[c]).cast("long") for c in totals.columns})
     totals, small = checked_small(totals, materialize=False)
     return df.join(F.broadcast(totals) if small else totals, on=pk, how="inner")
 

@@ -34,9 +34,9 @@ def score_ranks(df: DataFrame, score: str, partition_by: list[str] = ()) -> tupl
     if pk:
         totals, small = checked_small(totals, materialize=False)
         return ranks.join(F.broadcast(totals) if small else totals, on=pk, how="left"), n_distinct
-    # no partition: the total is one row, attached by a broadcast equi-join on a constant
-    return (ranks.withColumn("_k", F.lit(1))
-            .join(F.broadcast(totals.withColumn("_k", F.lit(1))), "_k").drop("_k")), n_distinct
+    # no partition: the total is one number, read from the materialised counts
+    n = totals.first()["n"]
+    return ranks.withColumn("n", F.lit(n).cast("long")), n_distinct
 
 
 def rank_normalize(df: DataFrame, score: str, partition_by: list[str] = (), out: str = "rank_norm",
