@@ -9,9 +9,9 @@ from scorewright.operators.aggregate import (CATEGORICAL_AGGS, NUMERIC_AGGS, add
 from scorewright.operators.dates import DATE_FEATURES, add_date_features
 from scorewright.operators.encode import apply_target_encoding, fit_target_encoding_by_key
 from scorewright.operators.history import order_history
-from scorewright.operators.joins import label_join, spine_join, union_train_test
-from scorewright.sources.fixtures import (KEY, STATEMENT_CATEGORICAL, STATEMENT_MEASURES, statements,
-                                          test_spine, train_labels)
+from scorewright.operators.joins import label_join, spine_join
+from scorewright.sources.fixtures import (KEY, STATEMENT_CATEGORICAL, STATEMENT_MEASURES, spine, statements,
+                                          train_labels)
 
 TE_SOURCE = STATEMENT_CATEGORICAL + ["day", "month", "year"]
 TE_COLS = [f"{c}_te" for c in TE_SOURCE]
@@ -50,6 +50,5 @@ def customer_features(spark: SparkSession, sf_dir: str, num_aggs=NUMERIC_AGGS, c
                               cat_aggs or (), strategy=strategy)
     if diffs:
         feats = add_diff_features(feats, NUM_COLS)
-    # one spine (training labels + test list), one join: the aggregate is planned once
-    spine = union_train_test(train_labels(spark, sf_dir), test_spine(spark, sf_dir))
-    return spine_join(spine, feats)
+    # one spine (training labels + test list, one scan), one join: the aggregate is planned once
+    return spine_join(spine(spark, sf_dir), feats)

@@ -100,6 +100,12 @@ def train_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.where(~F.col("is_test")).select(KEY, F.col("truth").alias("target"))
 
 
+def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both spines in one scan: (customer_id, target, is_test), target NULL for test customers."""
+    t = customer_truth(spark, sf_dir)
+    return t.select(KEY, F.when(~F.col("is_test"), F.col("truth")).alias("target"), "is_test")
+
+
 def test_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer list of the test split (customer_id)."""
     t = customer_truth(spark, sf_dir)
