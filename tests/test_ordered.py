@@ -49,3 +49,16 @@ def test_hot_group_is_split_evenly(spark):
     sizes = [r["count"] for r in df.withColumn("b", bkt).groupBy("b").count().collect()]
     hot = df.withColumn("b", bkt).where("g = 0").select("b").distinct().count()
     assert max(sizes) <= 2 * 6000 / (cuts + 1) and hot >= 3
+
+
+def test_flagship_same_in_multi_bucket_mode(spark):
+    from scorewright.operators.ordered import ROWS_PER_BUCKET_CONF
+    from scorewright.plans.features import customer_features
+    sf = "/root/testdata/sf0.001"
+    one = sorted(customer_features(spark, sf).collect())
+    try:
+        spark.conf.set(ROWS_PER_BUCKET_CONF, "300")        # ~20 buckets over 1,500 statements
+        many = sorted(customer_features(spark, sf).collect())
+    finally:
+        spark.conf.unset(ROWS_PER_BUCKET_CONF)
+    assert one == many and len(one) == 150
