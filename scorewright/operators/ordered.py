@@ -44,9 +44,11 @@ def _sample_bounds(df: DataFrame, key_cols: list[str], n_rows: int, n_buckets: i
     return bounds
 
 
-def _bucket_expr(df: DataFrame, key_cols: list[str], bounds: list[tuple]) -> Column:
+def _bucket_expr(df: DataFrame, key_cols: list[str], bounds: list[tuple], key_exprs: list[Column] | None = None
+                 ) -> Column:
     types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key_cols)])
+    exprs = key_exprs or [F.col(c) for c in key_cols]
+    key = F.struct(*[e.cast(types[c]).alias(f"k{i}") for i, (c, e) in enumerate(zip(key_cols, exprs))])
     lits = [F.struct(*[F.lit(v).cast(types[c]).alias(f"k{i}") for i, (c, v) in enumerate(zip(key_cols, b))])
             for b in bounds]
 
@@ -60,26 +62,29 @@ def _bucket_expr(df: DataFrame, key_cols: list[str], bounds: list[tuple]) -> Col
     return tree(0, len(bounds))
 
 
+def _plan(df: DataFrame, key_cols: list[str], rows_per_bucket: int | None, max_buckets: int, seed: int,
+          n_rows: int | None) -> list[tuple]:
+    if rows_per_bucket is None:
+        rows_per_bucket = int(df.sparkSession.conf.get(ROWS_PER_BUCKET_CONF, str(ROWS_PER_BUCKET)))
+    n = df.count() if n_rows is None else n_rows
+    nb = max(1, min(max_buckets, math.ceil(n / max(rows_per_bucket, 1))))
+    return _sample_bounds(df, key_cols, n, nb, seed) if nb > 1 else []
+
+
 def plan_buckets(df: DataFrame, key_cols: list[str], *, rows_per_bucket: int | None = None,
                  max_buckets: int = MAX_BUCKETS, seed: int = 17, n_rows: int | None = None) -> tuple[Column, int]:
     """Bucket id over the lexicographic order of ``key_cols`` and the number of cut points
     (one count unless ``n_rows`` is known, plus one bounded sample when more than one
     bucket is needed). ``rows_per_bucket`` defaults to the session setting
     ``scorewright.ordered.rowsPerBucket``, else ``ROWS_PER_BUCKET``."""
-    if rows_per_bucket is None:
-        rows_per_bucket = int(df.sparkSession.conf.get(ROWS_PER_BUCKET_CONF, str(ROWS_PER_BUCKET)))
-    n = df.count() if n_rows is None else n_rows
-    nb = max(1, min(max_buckets, math.ceil(n / max(rows_per_bucket, 1))))
-    if nb == 1:
-        return F.lit(0), 0
-    bounds = _sample_bounds(df, key_cols, n, nb, seed)
+    bounds = _plan(df, key_cols, rows_per_bucket, max_buckets, seed, n_rows)
     return (_bucket_expr(df, key_cols, bounds), len(bounds)) if bounds else (F.lit(0), 0)
 
 
 def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list[str], *,
                  sums: dict[str, Column] | None = None, lags: dict[str, Column] | None = None,
                  rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
-                 seed: int = 17, n_rows: int | None = None) -> DataFrame:
+                 seed: int = 17, n_rows: int | None = None, attach: DataFrame | None = None) -> DataFrame:
     """Add inclusive running sums and previous-row values within ``partition_by`` groups,
     ordered ascending by ``order_by``.
 
@@ -88,13 +93,19 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list[str], *,
     ``sums``: output name -> expression summed from the group start to the current row.
     ``lags``: output name -> expression evaluated at the previous row of the group (NULL
     on the group's first row).
+    ``attach``: an optional table keyed by ``partition_by`` (e.g. customer labels), left-joined
+    to the rows *inside* the scan's partitioning. Each of its rows is repeated for the range
+    of buckets its group spans (from ``(group, minimum)`` to ``(group, maximum)`` of the
+    numeric order columns, so the repetition is bounded by groups + buckets), and the join
+    on ``(bucket, group)`` moves only that table: the scanned rows are not shuffled again.
     """
     sums = dict(sums or {})
     lags = dict(lags or {})
     pk = list(partition_by)
     key_cols = pk + list(order_by)
-    bkt, n_cuts = plan_buckets(df, key_cols, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets,
-                               seed=seed, n_rows=n_rows)
+    bounds = _plan(df, key_cols, rows_per_bucket, max_buckets, seed, n_rows)
+    n_cuts = len(bounds)
+    bkt = _bucket_expr(df, key_cols, bounds) if bounds else F.lit(0)
     d = df.withColumn("_bkt", bkt)
     for name, expr in lags.items():
         d = d.withColumn(f"_v_{name}", expr)
@@ -111,7 +122,8 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list[str], *,
 
     if n_cuts == 0:
         out = scanned.withColumns({**{n: F.col(f"_s_{n}") for n in sums}, **{n: F.col(f"_l_{n}") for n in lags}})
-        return out.drop(*_internal(out, df, sums, lags))
+        out = _attach_by_bucket(out, df, attach, pk, key_cols, bounds)
+        return out.drop(*_internal(out, df, sums, lags, attach))
 
     # Last row of every bucket: key fields, running sums and lag sources. One row per bucket.
     tail_fields = ([F.col(c).alias(f"k{i}") for i, c in enumerate(key_cols)]
@@ -142,13 +154,34 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list[str], *,
                    .otherwise(F.col(f"_s_{n}"))
     for n in lags:
         outs[n] = F.when(F.col("_first") & has_carry, F.col(f"_c_{n}")).otherwise(F.col(f"_l_{n}"))
-    out = joined.withColumns(outs)
-    return out.drop(*_internal(out, df, sums, lags))
+    out = _attach_by_bucket(joined.withColumns(outs), df, attach, pk, key_cols, bounds)
+    return out.drop(*_internal(out, df, sums, lags, attach))
+
+
+def _attach_by_bucket(out: DataFrame, src: DataFrame, attach: DataFrame | None, pk: list[str], key_cols: list[str],
+                      bounds: list[tuple]) -> DataFrame:
+    if attach is None:
+        return out
+    if not bounds:
+        return out.join(attach.withColumn("_bkt", F.lit(0)), on=["_bkt", *pk], how="left")
+    from pyspark.sql.types import DoubleType, FloatType
+    types = {f.name: f.dataType for f in src.schema.fields}
+    order_cols = key_cols[len(pk):]
+
+    def extreme(c: str, high: bool) -> Column:
+        if isinstance(types[c], (DoubleType, FloatType)):
+            return F.lit(float("inf") if high else float("-inf"))
+        return F.lit((1 << 63) - 1 if high else -(1 << 63))
+
+    lo = _bucket_expr(src, key_cols, bounds, [F.col(c) for c in pk] + [extreme(c, False) for c in order_cols])
+    hi = _bucket_expr(src, key_cols, bounds, [F.col(c) for c in pk] + [extreme(c, True) for c in order_cols])
+    ranged = attach.withColumn("_bkt", F.explode(F.sequence(lo, hi)))
+    return out.join(ranged, on=["_bkt", *pk], how="left")
 
 
 _PREFIXES = ("_bkt", "_v_", "_x_", "_s_", "_l_", "_first", "_c_", "_p_", "_next_b")
 
 
-def _internal(out: DataFrame, src: DataFrame, sums: dict, lags: dict) -> list[str]:
-    keep = set(src.columns) | set(sums) | set(lags)
+def _internal(out: DataFrame, src: DataFrame, sums: dict, lags: dict, attach: DataFrame | None = None) -> list[str]:
+    keep = set(src.columns) | set(sums) | set(lags) | (set(attach.columns) if attach is not None else set())
     return [c for c in out.columns if c.startswith(_PREFIXES) and c not in keep]

@@ -9,7 +9,7 @@ from scorewright.operators.aggregate import (CATEGORICAL_AGGS, NUMERIC_AGGS, add
 from scorewright.operators.dates import DATE_FEATURES, add_date_features
 from scorewright.operators.encode import apply_target_encoding, fit_target_encoding_by_key
 from scorewright.operators.history import order_history
-from scorewright.operators.joins import label_join, spine_join
+from scorewright.operators.joins import spine_join
 from scorewright.sources.fixtures import (KEY, STATEMENT_CATEGORICAL, STATEMENT_MEASURES, spine, statements,
                                           train_labels)
 
@@ -28,15 +28,17 @@ def statement_features(spark: SparkSession, sf_dir: str, fit_filter=None, with_t
     (customer, category) before it meets the customer labels, materialised once and
     broadcast after a size check; applying them needs no shuffle. The ordered scan by
     customer (skew-safe buckets) is the only shuffle of the wide statement rows; the customer
-    aggregate and a statement-level label join reuse its key partitioning."""
+    aggregate reuses its key partitioning, and the customer labels are joined inside it
+    (``ordered_scan(attach=...)``), so the wide rows are not shuffled again."""
     base = add_date_features(statements(spark, sf_dir))
     labels = train_labels(spark, sf_dir)
     fit_rows = base.where(~F.col("is_test"))
     if fit_filter is not None:
         fit_rows = fit_rows.where(fit_filter)
     enc = fit_target_encoding_by_key(fit_rows, labels, TE_SOURCE, KEY)
-    s = order_history(apply_target_encoding(base, enc, TE_SOURCE), **scan_kw)
-    return label_join(s, labels) if with_target else s
+    # the labels join inside the scan's (bucket, customer) partitioning: no second wide shuffle
+    return order_history(apply_target_encoding(base, enc, TE_SOURCE), attach=labels if with_target else None,
+                         **scan_kw)
 
 
 def customer_features(spark: SparkSession, sf_dir: str, num_aggs=NUMERIC_AGGS, cat_aggs=CATEGORICAL_AGGS,

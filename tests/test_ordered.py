@@ -62,3 +62,22 @@ def test_flagship_same_in_multi_bucket_mode(spark):
     finally:
         spark.conf.unset(ROWS_PER_BUCKET_CONF)
     assert one == many and len(one) == 150
+
+
+def test_attach_inside_the_scan_partitioning(spark):
+    from scorewright.operators.ordered import ROWS_PER_BUCKET_CONF
+    from scorewright.plans.features import statement_features
+    sf = "/root/testdata/sf0.001"
+    cols = ["customer_id", "seq", "rn", "days_diff", "target", "priority_code_te"]
+    one = sorted(statement_features(spark, sf).select(*cols).collect())
+    try:
+        spark.conf.set(ROWS_PER_BUCKET_CONF, "200")
+        multi = statement_features(spark, sf)
+        many = sorted(multi.select(*cols).collect())
+        plan = multi._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(ROWS_PER_BUCKET_CONF)
+    assert one == many and len(one) == 1500
+    assert sum(r["target"] is not None for r in one) > 0
+    # the statements are shuffled once by (bucket, customer); no exchange by customer alone
+    assert "hashpartitioning(customer_id" not in plan.replace("hashpartitioning(_bkt", "")
