@@ -12,8 +12,11 @@ cut points split a hot group, too. Each ``(bucket, group)`` piece is then scanne
 ordinary window; the only state crossing a cut is the last row of each bucket (one row per
 bucket, broadcast with that proven bound), stitched in with one broadcast join.
 
-Rows per bucket are bounded by ``rows_per_bucket`` (up to ``max_buckets`` buckets);
-small inputs use a single bucket and skip the sampling pass.
+Rows per bucket are bounded by ``rows_per_bucket`` (session conf
+``scorewright.ordered.rowsPerBucket``), up to ``max_buckets`` = 16,384 buckets; above 1,023
+cut points the lookup is a tree over every 64th cut point plus a scan of that segment's 63.
+Small inputs use a single bucket and skip the sampling pass. The driver only ever holds the
+sorted sample (at most 400,000 key tuples) and the tail table (one row per bucket).
 """
 
 from __future__ import annotations
@@ -23,15 +26,18 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 16384
 SAMPLES_PER_BUCKET = 40
+MAX_SAMPLE_ROWS = 400_000          # bound on the sample brought to the driver
+TREE_LIMIT = 1023                  # cut points handled by one CASE WHEN tree
+SEGMENT = 64                       # above that: a tree over every 64th cut point, then a scan
 # session-level override of ROWS_PER_BUCKET (e.g. smaller on executors with little memory)
 ROWS_PER_BUCKET_CONF = "scorewright.ordered.rowsPerBucket"
 
 
 def _sample_bounds(df: DataFrame, key_cols: list[str], n_rows: int, n_buckets: int,
                    seed: int) -> list[tuple]:
-    frac = min(1.0, SAMPLES_PER_BUCKET * n_buckets / max(n_rows, 1))
+    frac = min(1.0, min(SAMPLES_PER_BUCKET * n_buckets, MAX_SAMPLE_ROWS) / max(n_rows, 1))
     rows = (df.select(*key_cols).sample(withReplacement=False, fraction=frac, seed=seed)
             .orderBy(*key_cols).collect())          # bounded: ~SAMPLES_PER_BUCKET * n_buckets
     if not rows:
@@ -46,20 +52,34 @@ def _sample_bounds(df: DataFrame, key_cols: list[str], n_rows: int, n_buckets: i
 
 def _bucket_expr(df: DataFrame, key_cols: list[str], bounds: list[tuple], key_exprs: list[Column] | None = None
                  ) -> Column:
+    """Number of cut points <= key. Up to TREE_LIMIT cut points: a balanced CASE WHEN tree
+    (log2 comparisons). Beyond: the tree runs over every SEGMENT-th cut point and the
+    remaining (< SEGMENT) cut points of that segment are counted with ``filter``/``size``,
+    so the plan holds each cut point once and a row costs about log2(n/SEGMENT) + SEGMENT
+    comparisons."""
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = key_exprs or [F.col(c) for c in key_cols]
     key = F.struct(*[e.cast(types[c]).alias(f"k{i}") for i, (c, e) in enumerate(zip(key_cols, exprs))])
-    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(f"k{i}") for i, (c, v) in enumerate(zip(key_cols, b))])
-            for b in bounds]
 
-    def tree(lo: int, hi: int) -> Column:
-        # number of bounds <= key, given bounds[:lo] <= key < bounds[hi:]
+    def lit(b: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(types[c]).alias(f"k{i}") for i, (c, v) in enumerate(zip(key_cols, b))])
+
+    def tree(points: list[Column], lo: int, hi: int) -> Column:
+        # number of points <= key, given points[:lo] <= key < points[hi:]
         if lo >= hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(key >= lits[mid], tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(bounds))
+        return F.when(key >= points[mid], tree(points, mid + 1, hi)).otherwise(tree(points, lo, mid))
+
+    if len(bounds) <= TREE_LIMIT:
+        lits = [lit(b) for b in bounds]
+        return tree(lits, 0, len(lits))
+    coarse = [lit(bounds[j]) for j in range(SEGMENT - 1, len(bounds), SEGMENT)]
+    ci = tree(coarse, 0, len(coarse))                       # full segments below the key
+    segments = F.array(*[F.array(*[lit(b) for b in bounds[j * SEGMENT: j * SEGMENT + SEGMENT - 1]])
+                         for j in range(len(coarse) + 1)])
+    inside = F.size(F.filter(F.element_at(segments, ci + 1), lambda b: b <= key))
+    return ci * F.lit(SEGMENT) + inside
 
 
 def _plan(df: DataFrame, key_cols: list[str], rows_per_bucket: int | None, max_buckets: int, seed: int,

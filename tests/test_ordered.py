@@ -81,3 +81,15 @@ def test_attach_inside_the_scan_partitioning(spark):
     assert sum(r["target"] is not None for r in one) > 0
     # the statements are shuffled once by (bucket, customer); no exchange by customer alone
     assert "hashpartitioning(customer_id" not in plan.replace("hashpartitioning(_bkt", "")
+
+
+def test_two_level_bucket_lookup_is_exact(spark):
+    import scorewright.operators.ordered as od
+    rows = [(i % 7, (i * 7919) % 5003, i) for i in range(12000)]
+    df = spark.createDataFrame(rows, "g long, t long, id long")
+    keys = ["g", "t", "id"]
+    bounds = sorted({tuple(r) for r in df.select(*keys).sample(fraction=0.3, seed=3).collect()})[::3]
+    assert len(bounds) > od.TREE_LIMIT                     # exercises the segmented lookup
+    got = df.withColumn("b", od._bucket_expr(df, keys, bounds)).collect()
+    import bisect
+    assert all(r["b"] == bisect.bisect_right(bounds, (r["g"], r["t"], r["id"])) for r in got)
