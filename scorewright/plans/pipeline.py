@@ -57,7 +57,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget:
         tr = s.where(~F.col("is_test"))
         tr = tr.join(group_folds(tr).select(KEY, "fold"), KEY, "inner")
         hist = random_search(tr, STATEMENT_FEATURES, n_trials=search_trials, max_iter=budget or 100,
-                             parallelism=parallelism)
+                             parallelism=parallelism, layout_cols=[KEY, "seq"])
         hist.coalesce(1).write.mode("overwrite").csv(f"{out}/output/search_trials", header=True)
         params = {k: v for k, v in best_trial(hist).first().asDict().items() if k not in ("trial", "value")}
         summary["search_best"] = params
