@@ -309,7 +309,8 @@ def _open_pairs(big: DataFrame, linked: DataFrame, features: DataFrame, percent:
                                       F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
             .filter("lo <> hi").groupBy("mark", "m").agg(F.min("sig").alias("sig")))
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    rows = (member.join(tile.select("sig", blocks.alias("nb")), "sig")
+    tile = C.materialize(tile.select("sig", "m", blocks.alias("nb")))
+    rows = (C.join_by_key(member, tile, "sig", "m", big.count()).filter("nb is not null")
             .join(features.select("node", "n", "bits"), "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
@@ -338,8 +339,8 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
              .select(F.expr("posexplode(nodes) as (i, u)"), "nodes")
              .select("u", F.expr("explode(slice(nodes, i + 2, size(nodes))) as v")))
     big = C.materialize(tiles.filter("sig is not null").select("sig", F.explode("nodes").alias("node")).distinct())
-    stars = (big.join(big.groupBy("sig").agg(F.min("node").alias("u")), "sig").filter("node <> u")
-             .select("u", F.col("node").alias("v")))
+    centers = C.materialize(big.groupBy("sig").agg(F.min("node").alias("u"), F.count("*").alias("m")))
+    stars = C.join_by_key(big, centers, "sig", "m", big.count()).filter("node <> u").select("u", F.col("node").alias("v"))
     pairs = C.materialize(small.unionByName(stars).distinct())
 
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(big.select("node")).distinct()
