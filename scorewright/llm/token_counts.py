@@ -63,7 +63,7 @@ def histogram(lengths: DataFrame) -> DataFrame:
     ``docs_longer`` (with more tokens), ``tokens_longer`` (their tokens), ``docs_upto`` (with at most so
     many) and ``truncated_total`` (tokens when each document is cut at ``n_tokens``). Suffix sums are
     taken in buckets of ``SPAN`` lengths and then over the buckets. An empty table gives no rows."""
-    counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("bucket", F.floor(F.col("n_tokens") / SPAN))
+    counts = C.materialize(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))).withColumn("bucket", F.floor(F.col("n_tokens") / SPAN))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     totals = (counts.groupBy("bucket").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
               .select("bucket", F.coalesce(F.sum("d").over(above), F.lit(0)).alias("d"), F.coalesce(F.sum("t").over(above), F.lit(0)).alias("t")))
