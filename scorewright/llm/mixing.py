@@ -8,10 +8,12 @@ hash of their id, laid end to end and cut into blocks of the same number of word
 second epoch. The slot that would pass the target is cut at it.
 
 DataFrame operations only. Running sums and ranks are taken in two levels (bucket totals, then within a
-bucket), so neither a source with a third of all documents nor its slots meet in one task."""
+bucket; n rows have about sqrt(n) buckets, so both levels stay small), so neither a source with a third of all documents nor its slots meet in one task."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +21,8 @@ from scorewright.llm import common as C
 
 #: Weights of the sources in order of code point (null last), repeating.
 WEIGHTS = (3, 1, 2)
-#: Words of a block, and documents or slots of a bucket.
+#: Words of a block.
 BLOCK_WORDS = 64
-BUCKET = 16_384
 #: Cells of the unit interval by which points find their source.
 CELLS = 4096
 POINTS = 1 << 32
@@ -75,7 +76,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     goal, sources = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0)), F.count("*")).first()
 
     # Documents on their source's line of words: [at, at + size).
-    buckets = max(1, rows // BUCKET)
+    buckets = max(1, math.isqrt(rows))
     on = sized.alias("d").join(F.broadcast(targets.alias("t")) if sources <= C.HEAVY_KEYS * 100 else targets.alias("t"),
                                F.col("d.source").eqNullSafe(F.col("t.source"))).select("doc_id", "size", "h", "th", "s", "source_size", "target")
     laid = C.materialize(_running(on.withColumn("bucket", F.floor(F.col("h") * F.lit(buckets / 2.0 ** 60))), "s", "bucket", ["h", "doc_id", "th"], "size", "at"))
@@ -92,7 +93,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     points = (docs.sparkSession.range(slots).withColumn("point", F.pmod(F.pmod("id", F.lit(1 << 31)) * F.lit(GOLDEN), F.lit(POINTS)))
               .withColumn("cell", F.floor(F.col("point") * CELLS / POINTS)))
     dealt = (points.join(F.broadcast(edges) if sources <= C.HEAVY_KEYS * 100 else edges, "cell").filter("point >= lo and point < hi")
-             .withColumn("bucket", F.floor(F.col("id") / BUCKET)).withColumn("one", F.lit(1)))
+             .withColumn("bucket", F.floor(F.col("id") / math.isqrt(slots))).withColumn("one", F.lit(1)))
     ranked = _running(dealt, "s", "bucket", ["id"], "one", "rank")
     n = F.ceil(F.col("source_size") / block_words)
     room = F.floor("target") - F.col("epoch") * F.col("source_size") - F.col("block") * block_words
