@@ -167,7 +167,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions
              .filter(F.col("share") >= LEAST_SHARE).withColumn("weight", F.log(F.col("share") / (1 - F.col("share"))) - math.log(prior / (1 - prior)))
              .orderBy(F.desc("weight"), "term").limit(LEXICON).select("term", "weight").collect())
     model = Model({r[0]: r[1] for r in terms if r[1] > 0}, exceptions)
-    got = sample.mapInArrow(_feature_rows(model), "x0 double, x1 double, x2 double, toxic long").orderBy("x0", "x1", "x2", "toxic").collect()
+    got = sample.mapInArrow(_feature_rows(model), "x0 double, x1 double, x2 double, toxic long").collect()
+    got.sort(key=tuple)
     x = np.array([tuple(r)[:3] for r in got], float)
     model.fit = _logistic(x, np.array([r[3] for r in got], float))
     return model
