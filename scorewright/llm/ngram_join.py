@@ -143,8 +143,11 @@ class Families:
         return np.concatenate(sigs), np.concatenate(nodes)
 
 
+BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
+
+
 def _meta(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), *[(b, pa.int64()) for b in BIT_COLUMNS]])
 
     def run(batches):
         for batch in batches:
@@ -152,21 +155,20 @@ def _meta(k: int):
                 sets = gram_sets(texts, k)
                 yield pa.record_batch([rows.column(rows.schema.get_field_index("doc_id")).cast(pa.int64()),
                                        pa.array([len(s) for s in sets], pa.int64()),
-                                       pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())], schema=schema)
+                                       pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64()),
+                                       *[pa.array(b) for b in np.stack([bitmap(s) for s in sets]).T.copy()]], schema=schema)
 
     return run
 
 
-def _features(k: int):
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("bits", pa.list_(pa.int64())), ("grams", pa.binary())])
+def _grams(k: int):
+    schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for _, texts in C.slices(batch, "text"):
                 sets = [s for s in gram_sets(texts, k) if len(s)]
-                yield pa.record_batch([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                                       pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
-                                       pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+                yield pa.record_batch([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
     return run
 
@@ -245,11 +247,6 @@ def _tiles(buckets: int):
     return run
 
 
-def _overlap_bound(a: str, b: str):
-    differ = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(BITS // 64)), F.lit(0))
-    return F.floor((F.col(f"{a}.n") + F.col(f"{b}.n") - differ) / 2)
-
-
 def _exact(percent: int):
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -268,14 +265,20 @@ def _exact(percent: int):
     return run
 
 
-def verify(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that link: the bitmaps' bound first, then the sorted arrays."""
-    near = (pairs.join(features.alias("a"), F.col("u") == F.col("a.node"))
-            .join(features.alias("b"), F.col("v") == F.col("b.node"))
-            .withColumn("most", _overlap_bound("a", "b"))
-            .filter(F.expr(f"100 * most >= {percent} * (a.n + b.n - most)"))
-            .select("u", "v", F.col("a.grams").alias("x"), F.col("b.grams").alias("y")))
-    return near.mapInArrow(_exact(percent), "u long, v long")
+def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (u, v) that link: first those that the bitmaps' bound lets pass, then by their sorted arrays,
+    which are made again from the texts of only these documents."""
+    differ = sum((F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in BIT_COLUMNS), F.lit(0))
+    near = C.materialize(pairs.join(classes.alias("x"), F.col("u") == F.col("x.node")).join(classes.alias("y"), F.col("v") == F.col("y.node"))
+                         .withColumn("most", F.floor((F.col("x.n") + F.col("y.n") - differ) / 2))
+                         .filter(F.expr(f"100 * most >= {percent} * (x.n + y.n - most)"))
+                         .select("u", "v", F.col("x.low").alias("u_doc"), F.col("y.low").alias("v_doc")))
+    wanted = C.materialize(near.select(F.col("u_doc").alias("doc_id")).union(near.select("v_doc")).filter("doc_id is not null").distinct())
+    few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
+    grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").mapInArrow(_grams(k), "node long, grams binary"))
+    return (near.select("u", "v").join(grams.select(F.col("node").alias("u"), F.col("grams").alias("x")), "u")
+            .join(grams.select(F.col("node").alias("v"), F.col("grams").alias("y")), "v").select("u", "v", "x", "y")
+            .mapInArrow(_exact(percent), "u long, v long"))
 
 
 def _block_pairs(percent: int):
@@ -284,7 +287,7 @@ def _block_pairs(percent: int):
     def run(key, rows):
         i, j = key[1].as_py(), key[2].as_py()
         node, n, comp = (rows.column(c).to_numpy() for c in ("node", "n", "component"))
-        bits = np.array(rows.column("bits").to_pylist(), np.int64).view(np.uint64)
+        bits = np.stack([rows.column(b).to_numpy() for b in BIT_COLUMNS], 1).view(np.uint64)
         block = rows.column("block").to_numpy()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         u, v = [], []
@@ -302,7 +305,7 @@ def _block_pairs(percent: int):
     return run
 
 
-def _open_pairs(big: DataFrame, linked: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(big: DataFrame, linked: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs across components of the large tiles that are not one component yet."""
     member = (big.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
     tile = (member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"),
@@ -311,10 +314,10 @@ def _open_pairs(big: DataFrame, linked: DataFrame, features: DataFrame, percent:
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     tile = C.materialize(tile.select("sig", "m", blocks.alias("nb")))
     rows = (C.join_by_key(member, tile, "sig", "m", big.count()).filter("nb is not null")
-            .join(features.select("node", "n", "bits"), "node")
+            .join(classes.select("node", "n", *BIT_COLUMNS), "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "bits", "component", "block"))
+            .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", *BIT_COLUMNS, "component", "block"))
     return rows.groupBy("sig", "i", "j").applyInArrow(_block_pairs(percent), "u long, v long").distinct()
 
 
@@ -327,9 +330,10 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     doc_id takes part and gets the smallest other doc_id of its component (null if there is none).
     An empty table gives no rows."""
     docs = C.narrow(docs, "doc_id", "text")
-    meta = C.materialize(docs.mapInArrow(_meta(k), "doc_id long, n long, node long"))
+    meta = C.materialize(docs.mapInArrow(_meta(k), "doc_id long, n long, node long, " + ", ".join(f"{b} long" for b in BIT_COLUMNS)))
     grams, rows = meta.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    classes = meta.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
+    classes = C.materialize(meta.filter("node is not null").groupBy("node")
+                            .agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("n").alias("n"), *[F.first(b).alias(b) for b in BIT_COLUMNS]))
 
     share = 2 * 2 * (100 - percent) / (100 + percent) * 100 / percent
     buckets = max(8, int(grams * share / BUCKET_ENTRIES))
@@ -343,22 +347,16 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = C.join_by_key(big, centers, "sig", "m", big.count()).filter("node <> u").select("u", F.col("node").alias("v"))
     pairs = C.materialize(small.unionByName(stars).distinct())
 
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(big.select("node")).distinct()
-    wanted = C.materialize(nodes.join(classes, "node").select(F.col("low").alias("doc_id")).filter("doc_id is not null").distinct())
-    few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
-    features = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-                             .mapInArrow(_features(k), "node long, n long, bits array<long>, grams binary")
-                             .dropDuplicates(["node"]))
-    links = C.materialize(verify(pairs, features, percent))
+    links = C.materialize(verify(docs, pairs, classes, k, percent))
     linked = components(links)
     if big.limit(1).count():
-        more = C.materialize(verify(_open_pairs(big, linked, features, percent), features, percent))
+        more = C.materialize(verify(docs, _open_pairs(big, linked, classes, percent), classes, k, percent))
         if more.limit(1).count():
             linked = components(links.unionByName(more))
 
     # Only classes with copies or links have a component other than the document itself.
-    of_class = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_class = classes.select("node", "low", "copies").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = of_class.groupBy("component").agg(F.min("low").alias("component_id"), F.sum("copies").alias("size")).filter("size > 1")
     shared = C.materialize(of_class.join(lowest, "component").select("node", "copies", "component_id"))
-    return (C.join_by_key(meta, shared, "node", "copies", rows)
+    return (C.join_by_key(meta.select("doc_id", "n", "node"), shared, "node", "copies", rows)
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
