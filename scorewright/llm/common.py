@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ import scorewright
 from scorewright.session import cut_lineage
 
 #: Text bytes that one step of a task holds as Python words at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: Keys with more than a ``1 / HEAVY_KEYS`` part of all rows; there are at most so many of them.
@@ -68,15 +69,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of the batch of about ``SLICE_BYTES`` of text, with the texts as bytes (or None)."""
-    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t or b"")
-        if held >= SLICE_BYTES:
-            yield batch.slice(start, i + 1 - start), texts[start:i + 1]
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield batch.slice(start), texts[start:]
+    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = min(max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), start + 1), len(texts))
+        yield batch.slice(start, stop - start), texts.slice(start, stop - start).to_pylist()
+        start = stop
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

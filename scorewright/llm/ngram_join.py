@@ -41,8 +41,8 @@ BITS = 512
 SMALL_TILE = 8
 BLOCK = 1024
 #: Tile entries that a task gathers before it sends them on, and that one bucket should get.
-FLUSH = 1_000_000
-BUCKET_ENTRIES = 400_000
+FLUSH = 250_000
+BUCKET_ENTRIES = 200_000
 #: Members of one tile in one flush that take the usual way; more are passed on as they are.
 HOT_TILE = 32
 
