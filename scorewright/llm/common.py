@@ -21,6 +21,8 @@ from scorewright.session import cut_lineage
 
 #: Text bytes that one step of a task holds as Python words at a time.
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch to a Python worker, where the session has Spark's default (64 MB, which long texts fill).
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(4 << 20)
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: Keys with more than a ``1 / HEAVY_KEYS`` part of all rows; there are at most so many of them.
@@ -55,10 +57,16 @@ def ship(spark: SparkSession) -> None:
     sc._scorewright_shipped = True
 
 
+def prepare(spark: SparkSession) -> None:
+    ship(spark)
+    if spark.conf.get(BATCH_KEY, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
 def narrow(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns of the input never clash or travel. Every
-    operator starts here, which also sends the package to the workers."""
-    ship(docs.sparkSession)
+    operator starts here, which also sends the package to the workers and bounds Arrow batches."""
+    prepare(docs.sparkSession)
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 

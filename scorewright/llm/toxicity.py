@@ -117,7 +117,7 @@ def _terms(batches):
             for n in PREFIXES:
                 terms.update(" " + w[:n] for w in words if len(w) >= n)
             (toxic if label else clean).update(terms)
-            if len(toxic) + len(clean) > 500_000:
+            if len(toxic) + len(clean) > 100_000:
                 yield flush()
     yield flush()
 
@@ -210,5 +210,5 @@ def _clean(model):
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, all columns, that the model does not call toxic."""
-    C.ship(docs.sparkSession)
+    C.prepare(docs.sparkSession)
     return docs.mapInArrow(_clean(model), docs.schema)
