@@ -3,6 +3,8 @@ joins that survive a key with a large part of the rows."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
 import tempfile
 import zipfile
@@ -85,6 +87,14 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch,
         stop = min(max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), start + 1), len(texts))
         yield batch.slice(start, stop - start), texts.slice(start, stop - start).to_pylist()
         start = stop
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system; Python workers live on, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
