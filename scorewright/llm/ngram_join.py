@@ -273,9 +273,9 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percen
                          .withColumn("most", F.floor((F.col("x.n") + F.col("y.n") - differ) / 2))
                          .filter(F.expr(f"100 * most >= {percent} * (x.n + y.n - most)"))
                          .select("u", "v", F.col("x.low").alias("u_doc"), F.col("y.low").alias("v_doc")))
-    wanted = C.materialize(near.select(F.col("u_doc").alias("doc_id")).union(near.select("v_doc")).filter("doc_id is not null").distinct())
+    wanted = C.materialize(near.select(F.col("u_doc").alias("wanted")).union(near.select("v_doc")).distinct())
     few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
-    grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").mapInArrow(_grams(k), "node long, grams binary"))
+    grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").mapInArrow(_grams(k), "node long, grams binary"))
     return (near.select("u", "v").join(grams.select(F.col("node").alias("u"), F.col("grams").alias("x")), "u")
             .join(grams.select(F.col("node").alias("v"), F.col("grams").alias("y")), "v").select("u", "v", "x", "y")
             .mapInArrow(_exact(percent), "u long, v long"))
