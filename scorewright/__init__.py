@@ -8,7 +8,6 @@ Sub-packages:
 * ``operators`` – DataFrame -> DataFrame steps: ordered scans, lags, aggregation,
                   target encoding, ranks, metrics, folds, stacking, ensembles.
 * ``plans``     – end-to-end feature/training plans and the registered queries.
-* ``streaming`` – intentionally empty (the pipeline is batch only).
 """
 
 __version__ = "0.1.0"

@@ -32,3 +32,9 @@ def date_parts(ts: str | Column) -> dict[str, Column]:
 def seasonality(part: Column, period: float) -> Column:
     """cos(pi * (part / period * 2 - 1)); period 31 for day of month, 366 for day of year."""
     return F.cos(F.pi() * (part / F.lit(float(period)) * F.lit(2.0) - F.lit(1.0)))
+
+
+def parse_timestamp(text: str | Column, *formats: str) -> Column:
+    """Wall-clock timestamp (TIMESTAMP_NTZ) of a text by the first format that fits; NULL if none does."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])

@@ -18,8 +18,8 @@ CATEGORICAL_AGGS = ("count", "last", "first", "nunique")
 SCORE_AGGS = ("mean", "std", "min", "max", "last", "first")
 DIFF_FEATURES = (("last_mean_diff", "last", "mean"), ("last_first_diff", "last", "first"),
                  ("max_min_diff", "max", "min"))
-# above this many aggregate columns the long (unpivoted) plan is used
-WIDE_LIMIT = 400
+# aggregates of one ``groupBy``; more are computed in several and joined on the key
+CHUNK = 280
 
 
 def small_codes(df: DataFrame, cols: list[str]) -> bool:
@@ -91,32 +91,24 @@ def _wide(df: DataFrame, key: str, order: str, specs: list[tuple[str, str]], mas
     return df.groupBy(key).agg(*[agg_expr(a, c, order, mask).alias(f"{c}_{a}") for c, a in specs])
 
 
-def _long(df: DataFrame, key: str, order: str, cols: list[str], aggs: tuple[str, ...]) -> DataFrame:
-    """Unpivot to (key, position, feature, value), one ``groupBy(key, feature)``, then pivot
-    back with the known feature list (no distinct pass)."""
-    long = (df.select(key, order, *[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([key, order], cols, "feature", "value"))
-    per = long.groupBy(key, "feature").agg(*[agg_expr(a, "value", order).alias(a) for a in aggs])
-    wide = per.groupBy(key).pivot("feature", cols).agg(*[F.max(a).alias(a) for a in aggs])
-    return wide.select(key, *[F.col(f"{c}_{a}") for c in cols for a in aggs])
-
-
 def aggregate_history(df: DataFrame, key: str, order: str, numeric: list[str],
                       categorical: list[str] = (), num_aggs: tuple[str, ...] = NUMERIC_AGGS,
-                      cat_aggs: tuple[str, ...] = CATEGORICAL_AGGS, strategy: str = "auto") -> DataFrame:
-    """One row per ``key`` with ``<column>_<agg>`` columns (numeric first, then categorical)."""
+                      cat_aggs: tuple[str, ...] = CATEGORICAL_AGGS, chunk: int = CHUNK) -> DataFrame:
+    """One row per ``key`` with ``<column>_<agg>`` columns (numeric first, then categorical).
+
+    Every width takes the same way, so types never depend on it: aggregates run in chunks of whole
+    columns, each one ``groupBy(key)`` with partial aggregation, and the chunks are joined on the key.
+    The partial rows of a chunk are all that is shuffled, and the joins find their sides partitioned."""
     numeric, categorical = list(numeric), list(categorical)
-    if strategy == "auto":
-        strategy = "long" if len(numeric) * len(num_aggs) > WIDE_LIMIT else "wide"
-    cat_specs = [(c, a) for c in categorical for a in cat_aggs]
     mask = "nunique" in cat_aggs and small_codes(df, categorical)
-    if strategy == "wide" or not numeric:
-        return _wide(df, key, order, [(c, a) for c in numeric for a in num_aggs] + cat_specs, mask)
-    num = _long(df, key, order, numeric, tuple(num_aggs))
-    if not cat_specs:
-        return num
-    # both sides come out of a groupBy(key): the join needs no further exchange
-    return num.join(_wide(df, key, order, cat_specs, mask), on=key, how="full")
+    specs = [(c, a) for c in numeric for a in num_aggs] + [(c, a) for c in categorical for a in cat_aggs]
+    parts = [specs[i:i + chunk] for i in range(0, len(specs), chunk)] or [[]]
+    out = _wide(df, key, order, parts[0], mask)
+    for p in parts[1:]:
+        more = _wide(df, key, order, p, mask)
+        out = (out.alias("l").join(more.withColumnRenamed(key, "_key"), F.col(f"l.{_q(key)}").eqNullSafe(F.col("_key")), "inner")
+               .drop("_key"))
+    return out
 
 
 def add_diff_features(df: DataFrame, numeric: list[str]) -> DataFrame:

@@ -32,3 +32,10 @@ def order_history(df: DataFrame, key: str = "customer_id", order: tuple[str, ...
     for name, expr in (diffs or {}).items():
         adds[name] = expr - F.col(f"_prev_{name}")
     return out.withColumns(adds).drop(*lags.keys())
+
+
+def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
+    """Number the rows of a whole table from 0 in ``order`` (unique per row), by the ordered scan: no task sees
+    more than a bucket of the order."""
+    scanned = ordered_scan(df, [], order, sums={"_n": F.lit(1).cast("long")})
+    return scanned.withColumn(name, F.col("_n") - 1).drop("_n")

@@ -65,20 +65,24 @@ def metric_components(df: DataFrame, label: str = "target", score: str = "predic
     else:
         inside = F.try_divide(F.col("_cw"), w_total) <= F.lit(0.04)
     return j.groupBy(*pk, "P", "N").agg(
-        F.sum(F.col("_cp") * F.col("_w")).alias("S1"),
+        F.sum(F.col("_cp").cast("decimal(28,0)") * F.col("_w").cast("decimal(3,0)")).alias("S1"),
         F.sum(F.when(inside, F.col("_y")).otherwise(F.lit(0))).alias("captured"))
 
 
 def _scores(comp: DataFrame, gmax: str) -> dict[str, Column]:
     """Gini, capture and their mean. Divisions use ``try_divide``: a partition without
     positives or negatives has no metric (NULL) instead of failing the job under ANSI mode."""
-    P, N, S1 = F.col("P"), F.col("N"), F.col("S1")
-    div = F.try_divide
-    W = P + F.lit(20) * N
-    Q = div(W * W + P + F.lit(400) * N, F.lit(2))
+    # squares of the total weight leave 64 bits at about 150 M rows: exact decimals up to the division
+    P, N, S1 = F.col("P").cast("decimal(18,0)"), F.col("N").cast("decimal(18,0)"), F.col("S1")
+
+    def div(a, b):
+        return F.try_divide(a.cast("double"), b.cast("double"))
+
+    W = (P + F.lit(20) * N).cast("decimal(19,0)")
+    Q = div(W * W + P + F.lit(400) * N, F.lit(2.0))
     g_pred = div(S1, P) - div(Q, W)
     if gmax == "perfect":
-        g_max = div(div(P * (P + F.lit(1)), F.lit(2)) + F.lit(20) * N * P, P) - div(Q, W)
+        g_max = div(div(P * (P + F.lit(1)), F.lit(2.0)) + (F.lit(20) * N * P).cast("double"), P) - div(Q, W)
     else:
         g_max = div(F.lit(10) * N * (P + F.lit(20) * N - F.lit(19)), W)
     gini = div(g_pred, g_max)

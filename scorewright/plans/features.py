@@ -37,19 +37,19 @@ def statement_features(spark: SparkSession, sf_dir: str, fit_filter=None, with_t
         fit_rows = fit_rows.where(fit_filter)
     enc = fit_target_encoding_by_key(fit_rows, labels, TE_SOURCE, KEY)
     # the labels join inside the scan's (bucket, customer) partitioning: no second wide shuffle
-    return order_history(apply_target_encoding(base, enc, TE_SOURCE), attach=labels if with_target else None,
-                         **scan_kw)
+    # and the encodings join after it, so that the scan neither moves them nor repeats their joins
+    return apply_target_encoding(order_history(base, attach=labels if with_target else None, **scan_kw), enc, TE_SOURCE)
 
 
 def customer_features(spark: SparkSession, sf_dir: str, num_aggs=NUMERIC_AGGS, cat_aggs=CATEGORICAL_AGGS,
-                      diffs: bool = True, strategy: str = "auto", statements_df: DataFrame | None = None,
+                      diffs: bool = True, statements_df: DataFrame | None = None,
                       **scan_kw) -> DataFrame:
     """One row per label-spine customer (train: with target; test: without), is_test flag,
     ``<col>_<agg>`` for the numeric and categorical bundles, plus difference features."""
     s = statements_df if statements_df is not None else \
         statement_features(spark, sf_dir, with_target=False, **scan_kw)
     feats = aggregate_history(s, KEY, "rn", NUM_COLS, CAT_COLS if cat_aggs else [], num_aggs,
-                              cat_aggs or (), strategy=strategy)
+                              cat_aggs or ())
     if diffs:
         feats = add_diff_features(feats, NUM_COLS)
     # one spine (training labels + test list, one scan), one join: the aggregate is planned once

@@ -16,7 +16,7 @@ from scorewright.operators.metrics import combined_metric, logloss, roc_points
 from scorewright.operators.rank import rank_normalize
 from scorewright.operators.stack import fold_average, score_diff, score_features
 from scorewright.plans import oracle as O
-from scorewright.plans.registry import register
+from scorewright.plans.registry import ORACLES, register
 from scorewright.sources.fixtures import KEY, statements, test_spine, train_labels
 from scorewright.sources.predictions import (AGG_MODELS, MODELS, external_scores, fold_scores, prediction_long,
                                              statement_scores)
@@ -66,11 +66,21 @@ def _metric_query(name, cols, variant="mod", ties=False, pk=("model", "seed"), s
     register(name, sql)(q)
 
 
-_metric_query("metric_gini", ["gini"], seed=42)
-_metric_query("metric_capture", ["capture"], seed=42)
+_metric_query("metric_gini", ["gini"])
+_metric_query("metric_capture", ["capture"])
 _metric_query("metric_combined", ["gini", "capture", "metric"], ties=True)
 _metric_query("metric_combined_np", ["gini", "capture", "metric"], variant="np")
 
+
+
+@register("metric_rounded", ORACLES["metric_combined"].replace("CAST(gini AS FLOAT) AS gini, CAST(capture AS FLOAT) AS capture, CAST(metric AS FLOAT) AS metric",
+                                                               "round(metric, 6) AS metric"))
+def q_metric_rounded(spark, sf_dir):
+    """The metric of every run rounded to six digits, as it is reported."""
+    m = combined_metric(_oof(spark, sf_dir, ties=True), "target", "prediction", KEY, partition_by=["model", "seed"])
+    return m.select("model", "seed", F.round("metric", 6).alias("metric"))
+
+
 _LABELS_SCORE = O.score_sql("'doc'", "0", "doc_id", "quality")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,14 +37,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) fall back to a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset and the master is
+    local (tests, local runs) fall back to a fresh scratch folder. On a cluster an unset folder is an
+    error: executors would write their parts to disks of their own."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="scorewright-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -59,8 +64,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ``localCheckpoint``): Parquet, read back with the same schema. Survives executor loss,
     is columnar and compressed (an RDD checkpoint would Java-serialise every row), and the
     read-back plan carries real file sizes for the optimizer's join choices."""
-    import uuid
     spark = df.sparkSession
-    path = shared_dir(spark, f"tables/{uuid.uuid4().hex}")
+    path = shared_dir(spark, f"tables/{_run_folder(spark)}/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _run_folder(spark: SparkSession) -> str:
+    """Folder of this session's written tables, removed when the driver's process ends."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_scorewright_run"):
+        sc._scorewright_run = uuid.uuid4().hex
+        atexit.register(release_tables, spark)
+    return sc._scorewright_run
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Remove the written tables of this session (through Spark's file system, for every scheme). Results
+    that still read them must have been written or collected before."""
+    sc = spark.sparkContext
+    if sc._jsc is None or not hasattr(sc, "_scorewright_run"):
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, f"tables/{sc._scorewright_run}"))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

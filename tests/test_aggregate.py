@@ -16,9 +16,9 @@ def frame(spark):
     return spark.createDataFrame(ROWS, "k string, ord long, x double")
 
 
-@pytest.mark.parametrize("strategy", ["wide", "long"])
-def test_skip_missing_semantics(spark, frame, strategy):
-    g = aggregate_history(frame, "k", "ord", ["x"], ["x"], strategy=strategy,
+@pytest.mark.parametrize("chunk", [280, 2])
+def test_skip_missing_semantics(spark, frame, chunk):
+    g = aggregate_history(frame, "k", "ord", ["x"], ["x"], chunk=chunk,
                           cat_aggs=("count", "nunique"))
     r = {row["k"]: row for row in g.collect()}
     a, b, c = r["a"], r["b"], r["c"]
@@ -31,13 +31,16 @@ def test_skip_missing_semantics(spark, frame, strategy):
     assert c["x_std"] is None and c["x_last"] == 5.0 and c["x_first"] == 5.0
 
 
-def test_wide_and_long_plans_agree(spark):
+def test_chunks_agree_and_keep_types(spark):
     rows = [(k, o, float((k * 31 + o * 7) % 13) if (k + o) % 5 else None, float(o % 3))
             for k in range(40) for o in range(k % 9 + 1)]
     df = spark.createDataFrame(rows, "k long, ord long, x double, y double")
-    w = aggregate_history(df, "k", "ord", ["x", "y"], strategy="wide")
-    lo = aggregate_history(df, "k", "ord", ["x", "y"], strategy="long")
-    assert sorted(w.collect()) == sorted(lo.select(*w.columns).collect())
+    df = df.withColumn("z", F.lit(9007199254740993) + F.col("ord"))
+    w = aggregate_history(df, "k", "ord", ["x", "y", "z"])
+    c = aggregate_history(df, "k", "ord", ["x", "y", "z"], chunk=4)
+    assert w.schema == c.schema and w.schema["z_last"].dataType.simpleString() == "bigint"
+    assert sorted(w.collect()) == sorted(c.collect())
+    assert {r["z_last"] for r in w.where("k = 0").collect()} == {9007199254740993}
 
 
 def test_diff_features(spark, frame):

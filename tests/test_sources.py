@@ -33,3 +33,40 @@ def test_narrowing_strict_bounds(spark):
     assert rep == {"a": "tinyint", "b": "smallint", "c": "float", "d": "int"}
     out = narrow_types(df)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["tinyint", "smallint", "float", "int"]
+
+
+def test_written_tables_are_released(spark):
+    import os
+    from scorewright.session import cut_lineage, release_tables
+    df = cut_lineage(spark.range(3).toDF("x"))
+    path = df.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    release_tables(spark)
+    assert not os.path.exists(path)
+
+
+def test_cluster_without_shared_folder_is_refused():
+    import pytest
+    from scorewright.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_nan_is_missing(spark):
+    from scorewright.sources.tables import nan_to_null
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "k int, x double")
+    assert [r["x"] for r in nan_to_null(df).orderBy("k").collect()] == [1.0, None, None]
