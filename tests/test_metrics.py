@@ -110,8 +110,10 @@ def test_degenerate_partition_gives_null_not_error(spark):
 
 def test_scores_of_large_label_tables(spark):
     """60 M positives and 200 M negatives, perfectly ordered: squares of the weight leave 64 bits."""
+    from decimal import Decimal
+
     from scorewright.operators.metrics import _scores
     p, n = 60_000_000, 200_000_000
-    comp = spark.createDataFrame([(p, n, p * (p + 1) // 2 + 20 * n * p, p)], "P long, N long, S1 decimal(38,0), captured long")
+    comp = spark.createDataFrame([(p, n, Decimal(p * (p + 1) // 2 + 20 * n * p), p)], "P long, N long, S1 decimal(38,0), captured long")
     row = comp.select(*[v.alias(k) for k, v in _scores(comp, "perfect").items()]).first()
     assert abs(row["gini"] - 1.0) < 1e-12 and row["capture"] == 1.0
