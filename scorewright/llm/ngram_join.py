@@ -265,20 +265,40 @@ def _exact(percent: int):
     return run
 
 
-def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (u, v) that link: first those that the bitmaps' bound lets pass, then by their sorted arrays,
-    which are made again from the texts of only these documents."""
+def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that the bitmaps' bound lets pass, with a document of each class and the bound."""
     differ = sum((F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in BIT_COLUMNS), F.lit(0))
-    near = C.materialize(pairs.join(classes.alias("x"), F.col("u") == F.col("x.node")).join(classes.alias("y"), F.col("v") == F.col("y.node"))
-                         .withColumn("most", F.floor((F.col("x.n") + F.col("y.n") - differ) / 2))
-                         .filter(F.expr(f"100 * most >= {percent} * (x.n + y.n - most)"))
-                         .select("u", "v", F.col("x.low").alias("u_doc"), F.col("y.low").alias("v_doc")))
+    return (pairs.join(classes.alias("x"), F.col("u") == F.col("x.node")).join(classes.alias("y"), F.col("v") == F.col("y.node"))
+            .withColumn("most", F.floor((F.col("x.n") + F.col("y.n") - differ) / 2))
+            .filter(F.expr(f"100 * most >= {percent} * (x.n + y.n - most)"))
+            .select("u", "v", F.col("x.low").alias("u_doc"), F.col("y.low").alias("v_doc"), F.expr("most / (x.n + y.n - most)").alias("near")))
+
+
+def intersect(docs: DataFrame, near: DataFrame, k: int, percent: int) -> DataFrame:
+    """Of the pairs those that link, by their sorted arrays, made again from the texts of only these documents."""
     wanted = C.materialize(near.select(F.col("u_doc").alias("wanted")).union(near.select("v_doc")).distinct())
     few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
     grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").mapInArrow(_grams(k), "node long, grams binary"))
-    return (near.select("u", "v").join(grams.select(F.col("node").alias("u"), F.col("grams").alias("x")), "u")
-            .join(grams.select(F.col("node").alias("v"), F.col("grams").alias("y")), "v").select("u", "v", "x", "y")
-            .mapInArrow(_exact(percent), "u long, v long"))
+    return C.materialize(near.select("u", "v").join(grams.select(F.col("node").alias("u"), F.col("grams").alias("x")), "u")
+                         .join(grams.select(F.col("node").alias("v"), F.col("grams").alias("y")), "v").select("u", "v", "x", "y")
+                         .mapInArrow(_exact(percent), "u long, v long"))
+
+
+def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links among the pairs that join them as all links do, and the components. The bitmaps' bound comes first. Then
+    each class is checked with its most promising partner; pairs inside a component add nothing, so of the others only
+    those between different components are checked: arrays move about once a class, not once a pair."""
+    near = C.materialize(bounded(pairs, classes, percent))
+    best = near.groupBy("v").agg(F.max(F.struct("near", "u", "u_doc", "v_doc")).alias("b")).select("b.u", "v", "b.u_doc", "b.v_doc")
+    links = intersect(docs, C.materialize(best), k, percent)
+    linked = components(links)
+    of = lambda c: linked.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
+    rest = C.materialize(near.join(of("u"), "u", "left").join(of("v"), "v", "left")
+                         .filter(F.coalesce("u_in", "u") != F.coalesce("v_in", "v")).select("u", "v", "u_doc", "v_doc"))
+    if rest.limit(1).count():
+        links = links.unionByName(intersect(docs, rest, k, percent))
+        linked = components(links)
+    return links, linked
 
 
 def _block_pairs(percent: int):
@@ -347,10 +367,9 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = C.join_by_key(big, centers, "sig", "m", big.count()).filter("node <> u").select("u", F.col("node").alias("v"))
     pairs = C.materialize(small.unionByName(stars).distinct())
 
-    links = C.materialize(verify(docs, pairs, classes, k, percent))
-    linked = components(links)
+    links, linked = verify(docs, pairs, classes, k, percent)
     if big.limit(1).count():
-        more = C.materialize(verify(docs, _open_pairs(big, linked, classes, percent), classes, k, percent))
+        more, _ = verify(docs, _open_pairs(big, linked, classes, percent), classes, k, percent)
         if more.limit(1).count():
             linked = components(links.unionByName(more))
 
