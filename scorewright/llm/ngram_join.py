@@ -16,7 +16,10 @@ documents link when ``100 * |intersection| >= percent * |union|``.
 3. *Bitmaps.* A set's bitmap holds, for each of 512 buckets, the parity of its grams there.
    Each bit in which two bitmaps differ needs another gram in only one of the sets, so the bit
    count of their XOR bounds the overlap from above; pairs whose bound is too low end here.
-4. *Exact check.* The sorted arrays of the remaining pairs are intersected.
+4. *Fine bitmaps.* 512 bits say little about long sets, so the pairs that are left meet the same bound once more, with
+   bitmaps of 4 to 8 bits a gram, made for their documents only. Their length is a power of two: XOR of its
+   parts folds a longer bitmap to the length of a shorter one. They are a tenth of the arrays' size.
+5. *Exact check.* The sorted arrays of the remaining pairs are intersected.
 
 Tiles of up to ``SMALL_TILE`` classes give all their pairs (the same pair from many tiles is
 one). Larger ones are first checked as a star around their smallest class; a tile whose members
@@ -74,6 +77,23 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def fine_bitmap(s: np.ndarray) -> bytes:
+    """As ``bitmap``, of a power of two of at least four bits a gram; memory is that of the set."""
+    m = max(BITS, 1 << (4 * len(s) - 1).bit_length()) if len(s) else BITS
+    bucket, count = np.unique((s >> np.uint64(20)) & np.uint64(m - 1), return_counts=True)
+    odd = bucket[count % 2 == 1].astype(np.int64)
+    out = np.zeros(m // 8, np.uint8)
+    np.bitwise_or.at(out, odd >> 3, (128 >> (odd & 7)).astype(np.uint8))
+    return out.tobytes()
+
+
+def fine_differ(x: bytes, y: bytes) -> int:
+    """Bits in which two fine bitmaps differ, at the length of the shorter one."""
+    m = min(len(x), len(y))
+    a, b = (np.bitwise_xor.reduce(np.frombuffer(z, np.uint64).reshape(-1, m // 8), axis=0) for z in (x, y))
+    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
+
+
 class Families:
     """Parts of the families of set sizes for one similarity threshold."""
 
@@ -161,14 +181,16 @@ def _meta(k: int):
     return run
 
 
-def _grams(k: int):
-    schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
+def _grams(k: int, fine: bool):
+    """Of each document with words its class, its size, and its fine bitmap or its sorted array."""
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("grams", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for _, texts in C.slices(batch, "text"):
                 sets = [s for s in gram_sets(texts, k) if len(s)]
-                yield pa.record_batch([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+                yield pa.record_batch([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                                       pa.array([fine_bitmap(s) if fine else s.tobytes() for s in sets], pa.binary())], schema=schema)
 
     return run
 
@@ -247,20 +269,22 @@ def _tiles(buckets: int):
     return run
 
 
-def _exact(percent: int):
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+def _overlap(x: bytes, y: bytes) -> int:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    at = np.searchsorted(x, y)
+    return int((x[np.minimum(at, len(x) - 1)] == y).sum())
+
+
+def _check(percent: int, fine: bool):
+    """The pairs whose overlap is large enough: by its upper bound from fine bitmaps, or as it is from sorted arrays."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("u_doc", pa.int64()), ("v_doc", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            u, v, a, b = (batch.column(i).to_pylist() for i in range(4))
-            out = []
-            for i in range(len(u)):
-                x, y = np.frombuffer(a[i], np.uint64), np.frombuffer(b[i], np.uint64)
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    out.append(i)
-            yield pa.record_batch([pa.array([u[i] for i in out], pa.int64()), pa.array([v[i] for i in out], pa.int64())], schema=schema)
+            total, x, y = (batch.column(i).to_pylist() for i in range(4, 7))
+            both = [(t - fine_differ(a, b)) // 2 if fine else _overlap(a, b) for t, a, b in zip(total, x, y, strict=True)]
+            keep = pa.array([100 * o >= percent * (t - o) for t, o in zip(total, both, strict=True)], pa.bool_())
+            yield pa.record_batch([batch.column(i).filter(keep) for i in range(4)], schema=schema)
 
     return run
 
@@ -274,14 +298,22 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             .select("u", "v", F.col("x.low").alias("u_doc"), F.col("y.low").alias("v_doc"), F.expr("most / (x.n + y.n - most)").alias("near")))
 
 
-def intersect(docs: DataFrame, near: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs those that link, by their sorted arrays, made again from the texts of only these documents."""
-    wanted = C.materialize(near.select(F.col("u_doc").alias("wanted")).union(near.select("v_doc")).distinct())
+def compare(docs: DataFrame, pairs: DataFrame, k: int, percent: int, fine: bool) -> DataFrame:
+    """Of the pairs (u, v, u_doc, v_doc) those that pass one check, made from the texts of only these documents."""
+    wanted = C.materialize(pairs.select(F.col("u_doc").alias("wanted")).union(pairs.select("v_doc")).distinct())
     few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
-    grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").mapInArrow(_grams(k), "node long, grams binary"))
-    return C.materialize(near.select("u", "v").join(grams.select(F.col("node").alias("u"), F.col("grams").alias("x")), "u")
-                         .join(grams.select(F.col("node").alias("v"), F.col("grams").alias("y")), "v").select("u", "v", "x", "y")
-                         .mapInArrow(_exact(percent), "u long, v long"))
+    grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+                          .mapInArrow(_grams(k, fine), "node long, n long, grams binary"))
+    return C.materialize(pairs.join(grams.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("x")), "u")
+                         .join(grams.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("y")), "v")
+                         .select("u", "v", "u_doc", "v_doc", F.col("n_u") + F.col("n_v"), "x", "y")
+                         .mapInArrow(_check(percent, fine), "u long, v long, u_doc long, v_doc long"))
+
+
+def intersect(docs: DataFrame, near: DataFrame, k: int, percent: int) -> DataFrame:
+    """Of the pairs those that link: by fine bitmaps first, then by the sorted arrays of those that are left."""
+    left = compare(docs, near.select("u", "v", "u_doc", "v_doc"), k, percent, True)
+    return compare(docs, left, k, percent, False).select("u", "v")
 
 
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
