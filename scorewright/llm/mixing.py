@@ -5,7 +5,8 @@ integers), mapped through the cumulative target shares of the sources; so every
 schedule holds each source very nearly in proportion. The rank of a slot among the slots of its
 source names the block of that source that it takes: a source's documents are shuffled by a
 hash of their id, laid end to end and cut into blocks of the same number of words. Ranks past the last block begin a
-second epoch. The slot that would pass the target is cut at it.
+second epoch. The slot that would pass the target is cut at it. A source that the schedule left short of the blocks up to its target
+(as small ones are: each epoch may end in a part of a block) gets its missing ranks after the last slot.
 
 DataFrame operations only. Running sums and ranks are taken in two levels (bucket totals, then within a
 bucket; n rows have about sqrt(n) buckets, so both levels stay small), so neither a source with a third of all documents nor its slots meet in one task."""
@@ -25,6 +26,8 @@ WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 64
 #: Cells of the unit interval by which points find their source.
 CELLS = 4096
+#: Missing ranks that one row of a source is spread to at a time.
+RANKS = 1024
 POINTS = 1 << 32
 GOLDEN = 2654435769
 
@@ -81,7 +84,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
                                F.col("d.source").eqNullSafe(F.col("t.source"))).select("doc_id", "size", "h", "th", "s", "source_size", "target")
     laid = C.materialize(_running(on.withColumn("bucket", F.floor(F.col("h") * F.lit(buckets / 2.0 ** 60))), "s", "bucket", ["h", "doc_id", "th"], "size", "at"))
 
-    # The schedule: slots by golden-ratio points; some more than needed, as a source may lag by a few.
+    # The schedule: slots by golden-ratio points; some more than needed, so that few sources lag.
     slots = int(goal / block_words) + 1
     slots += slots // 16 + 1024
     shares = targets.filter("target > 0").withColumn("_all", F.lit(float(goal) or 1.0))
@@ -94,8 +97,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
               .withColumn("cell", F.floor(F.col("point") * CELLS / POINTS)))
     dealt = (points.join(F.broadcast(edges) if sources <= C.HEAVY_KEYS * 100 else edges, "cell").filter("point >= lo and point < hi")
              .withColumn("bucket", F.floor(F.col("id") / math.isqrt(slots))).withColumn("one", F.lit(1)))
-    ranked = _running(dealt, "s", "bucket", ["id"], "one", "rank")
+    ranked = _running(dealt, "s", "bucket", ["id"], "one", "rank").select("s", "source_size", "target", "rank")
     n = F.ceil(F.col("source_size") / block_words)
+    # Ranks up to the target that no slot was dealt for.
+    whole = F.floor("target")
+    needed = F.when(whole <= F.col("source_size"), F.ceil(whole / block_words)).otherwise(n + F.ceil((whole - F.col("source_size")) / block_words))
+    short = (shares.select("s", "source_size", "target", needed.alias("needed")).join(dealt.groupBy("s").agg(F.count("*").alias("got")), "s", "left")
+             .withColumn("got", F.coalesce("got", F.lit(0)).cast("long")).filter("got < needed"))
+    missing = (short.withColumn("part", F.explode(F.sequence(F.floor(F.col("got") / RANKS), F.floor((F.col("needed") - 1) / RANKS)))).repartition("s", "part")
+               .select("s", "source_size", "target", F.explode(F.sequence(F.greatest(F.col("got"), F.col("part") * RANKS),
+                                                                        F.least(F.col("needed") - 1, F.col("part") * RANKS + (RANKS - 1)))).alias("rank")))
+    ranked = ranked.unionByName(missing)
     room = F.floor("target") - F.col("epoch") * F.col("source_size") - F.col("block") * block_words
     taken_blocks = (ranked.withColumn("epoch", F.floor(F.col("rank") / n)).withColumn("block", F.pmod(F.col("rank"), n))
                     .withColumn("words", F.least(F.lit(block_words), room)).filter("epoch < 2 and words > 0")

@@ -261,6 +261,16 @@ def test_mixing(spark):
     assert mixing.mix(small).count() == len(rows) and mixing.mix(empty(spark)).count() == 0
 
 
+def test_mixing_small_sources_reach_their_target(spark):
+    """Many sources of 5 to 300 words beside one of three million."""
+    large = spark.range(3000).selectExpr("id AS doc_id", "repeat('w ', 1000) AS text", "'large' AS source")
+    small = spark.range(5, 301).selectExpr("id + 10000 AS doc_id", "repeat('w ', int(id)) AS text", "concat('s', id) AS source")
+    docs = large.unionByName(small)
+    got = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    sums = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"), size=("size", "sum"))
+    assert len(sums) == 297 and (sums.taken == np.floor(sums.target)).all() and (got.taken <= 2 * got["size"]).all()
+
+
 def test_token_histogram(spark):
     docs, rows = odd_docs(spark)
     encode = token_counts._encoder(token_counts.vocabulary()).encode_ordinary
