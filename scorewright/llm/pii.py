@@ -2,12 +2,13 @@
 
 Generators with high recall propose overlapping spans (anything like an address with written-out signs, a run of
 digits, a long mixed token). Each has features of its format and its context, but not the base rules' verdict. Gradient-boosted trees are fitted on a
-bounded sample of the corpus's own candidates, with weak labels: a candidate that a base rule confirms, or that
-is assigned to a name of secrets, is personal. A threshold for each kind is calibrated on candidates that
-the fit did not see. Spans that pass are added to the base spans, which always stay."""
+bounded sample of the corpus's own candidates, stratified by kind and label, with weak labels: a candidate that a base rule confirms, or that
+is assigned to a name of secrets, is personal. Candidates are in two halves (by a hash) and each half is scored by trees fitted on the other one.
+A threshold for each kind is calibrated on these scores of all candidates. Spans that pass are added to the base spans, which always stay."""
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -25,10 +26,15 @@ from scorewright.llm.decontaminate import text_mark
 
 #: Kinds in the order in which they are listed; the base rules cover the first four.
 KINDS = ("email", "ip", "card", "phone", "contact", "number", "secret")
-#: Candidates that the trees are fitted and calibrated on at most (about so many, by a hash).
+#: Different candidates that the trees of both halves are fitted on at most (about so many, by a hash). Each kind and label has an
+#: equal part of it; what one does not fill goes to the others. Thresholds come from all candidates.
 SAMPLE = 20_000
-#: Share of true candidates that a kind's threshold must reach on the calibration part.
+#: Share of true candidates that a kind's threshold must reach on all candidates.
 PRECISION = 0.98
+#: Steps of a score in the histograms that thresholds are read from.
+STEPS = 10_000
+#: Values of the hash by which candidates are drawn.
+DRAWS = 1 << 40
 TREES, DEPTH = 8, 4
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -158,16 +164,24 @@ def _finish(batches):
         yield pa.record_batch([batch.column(0), *[pa.array(x, pa.int64()) for x in n], pa.array(sha), pa.array(every)], schema=schema)
 
 
-def _calibrate(scored: list, precision: float) -> dict[int, float]:
-    """The lowest threshold of each kind above which the share of true candidates is high enough."""
+def _calibrate(bins: list, precision: float) -> dict[int, int]:
+    """The lowest step of each kind from which on the share of true candidates is high enough; ``bins``
+    are rows of ``kind, step, candidates, true ones``."""
     out = {}
-    for kind in {r[0] for r in scored}:
-        p, y = (np.array(v) for v in zip(*sorted(((r[2], r[1]) for r in scored if r[0] == kind), reverse=True), strict=True))
-        share = np.cumsum(y) / np.arange(1, len(y) + 1)
-        last = np.r_[p[1:] != p[:-1], True]
-        good = np.flatnonzero(last & (share >= precision) & (p >= 0.5))
+    for kind in {r[0] for r in bins}:
+        step, n, true = (np.array(v) for v in zip(*sorted(((r[1], r[2], r[3]) for r in bins if r[0] == kind), reverse=True), strict=True))
+        good = np.flatnonzero((np.cumsum(true) / np.cumsum(n) >= precision) & (step >= STEPS // 2))
         if len(good):
-            out[kind] = float(p[good[-1]])
+            out[kind] = int(step[good[-1]])
+    return out
+
+
+def _quotas(counts: dict, sample: int) -> dict:
+    """Equal parts of ``sample`` for all strata; what small ones leave goes to the larger ones."""
+    out, left = {}, sample
+    for i, (stratum, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        out[stratum] = min(n, left // (len(counts) - i))
+        left -= out[stratum]
     return out
 
 
@@ -176,26 +190,34 @@ def redactions(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISI
     n_card, n_phone, base_sha256, spans``.
 
     Counts and digest are of the base spans; ``spans`` lists all as ``kind:start:end`` in characters, end exclusive, by
-    start and then kind. Null and empty texts have none. If the sample holds only one label nothing is added.
+    start and then kind. Null and empty texts have none. If one half's sample holds only one label, nothing is added in the other half.
     Repeated rows give a row each; a null doc_id is a value like others; an empty table gives no rows."""
     found = C.materialize(C.narrow(docs, "doc_id", "text").mapInArrow(_propose, FOUND))
-    each = found.select("doc_id", "mark", F.explode("found").alias("c")).select("doc_id", "mark", "c.*").withColumn("features", array_to_vector("x")).drop("x")
-    one = each.withColumn("draw", F.pmod(F.xxhash64("mark", "start", "end", "kind"), F.lit(1_000_000)))
-    n = one.count()
-    part = one.filter(F.col("draw") < int(1_000_000 * min(1.0, sample / max(n, 1)))) if n > sample else one
-    # A bounded sample in one order, so that the same rows give the same trees.
-    part = C.materialize(part.select("kind", "label", "features", "draw", "mark", "start").repartition(1).sortWithinPartitions("draw", "mark", "start", "kind"))
-    fit = part.filter("pmod(draw, 4) <> 0").select(F.col("label").cast("double"), "features")
-    labels = fit.select("label").distinct().count()
+    each = (found.select("doc_id", "mark", F.explode("found").alias("c")).select("doc_id", "mark", "c.*")
+            .withColumn("draw", F.pmod(F.xxhash64("mark", "start", "end", "kind"), F.lit(DRAWS))).withColumn("half", F.pmod("draw", F.lit(2)).cast("int")))
+    stratum = F.col("kind") * 2 + F.col("label")
+    counts = dict(each.groupBy(stratum.alias("stratum")).agg(F.approx_count_distinct("draw")).collect())
     added = None
-    if labels == 2:
-        model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(fit.coalesce(1))
-        p = vector_to_array("probability")[1].alias("p")
-        limits = _calibrate(model.transform(part.filter("pmod(draw, 4) = 0")).select("kind", "label", p).collect(), precision)
+    models = {}
+    if counts:
+        below = {k: int(DRAWS * q / max(counts[k], 1)) for k, q in _quotas(counts, sample).items()}
+        drawn = F.element_at(F.create_map(*[F.lit(v) for k, b in below.items() for v in (k, b)]), stratum)
+        # A bounded sample of different candidates in one order, so that the same rows give the same trees.
+        part = C.materialize(each.filter(F.col("draw") < drawn).select("kind", "label", "x", "draw", "half").dropDuplicates(["draw", "kind"])
+                             .repartition(1).sortWithinPartitions("draw", "kind"))
+        for half in (0, 1):
+            fit = part.filter(F.col("half") != half).select(F.col("label").cast("double"), array_to_vector("x").alias("features"))
+            if fit.select("label").distinct().count() == 2:
+                models[half] = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(fit.coalesce(1))
+    if models:
+        # Every candidate, by the trees that did not see its half.
+        halves = [model.transform(each.filter(F.col("half") == half).withColumn("features", array_to_vector("x")).drop("x"))
+                  .select("doc_id", "mark", "start", "kind", "end", "over", "label", vector_to_array("probability")[1].alias("p")) for half, model in models.items()]
+        scored = C.materialize(functools.reduce(DataFrame.unionByName, halves).withColumn("step", F.floor(F.col("p") * STEPS).cast("int")))
+        limits = _calibrate(scored.groupBy("kind", "step").agg(F.count("*"), F.sum("label")).collect(), precision)
         if limits:
-            limit = F.create_map(*[v for k, t in limits.items() for v in (F.lit(k), F.lit(t))])
-            added = (model.transform(each.filter("not over")).select("doc_id", "mark", "start", "kind", "end", p)
-                     .filter(F.col("p") >= F.try_element_at(limit, F.col("kind"))).distinct()
+            limit = F.create_map(*[F.lit(v) for k, t in limits.items() for v in (k, t)])
+            added = (scored.filter("not over").filter(F.col("step") >= F.try_element_at(limit, F.col("kind"))).select("doc_id", "mark", "start", "kind", "end", "p").distinct()
                      .groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "kind", "end", "p")).alias("added"))
                      .withColumnsRenamed({"doc_id": "d", "mark": "m"}))
     rows = found.select("doc_id", "mark", "base")

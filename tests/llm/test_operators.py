@@ -195,6 +195,15 @@ def test_pii_base_and_additions(spark):
     assert pii.redactions(empty(spark)).count() == 0
 
 
+def test_pii_rare_kinds_keep_their_spans(spark):
+    """A few contacts beside very many numbers, with a sample far smaller than the candidates."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"item {rng.randrange(10 ** 7, 10 ** 8)} x" for _ in range(100))) for i in range(200)]
+    rows += [(1000 + i, f"write to user{i} (at) host{i}.example.org soon") for i in range(40)]
+    got = {r.doc_id: r.spans for r in pii.redactions(spark.createDataFrame(rows, "doc_id long, text string"), sample=100).collect()}
+    assert all("contact:" in got[1000 + i] for i in range(40)) and not any(got[i] for i in range(200))
+
+
 def test_chunks_cover_and_resist_shifts():
     rng = random.Random(2)
     text = " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9))) for _ in range(3000)).encode()
