@@ -23,8 +23,8 @@ documents link when ``100 * |intersection| >= percent * |union|``.
 
 Tiles of up to ``SMALL_TILE`` classes give all their pairs (the same pair from many tiles is
 one). Larger ones are first checked as a star around their smallest class; a tile whose members
-are then one component is done, and the others compare members of different components in
-blocks of ``BLOCK``, by bitmap, in separate tasks. No link between different sets is lost and no
+are then one component is done, and the members of the others are compared in blocks, by bitmap and
+then by array, in tasks that return fewer links than members. No link between different sets is lost and no
 group is turned into all its pairs. Two different sets have the same digest with probability
 2^-64 a pair."""
 
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from scorewright.llm import common as C
 from scorewright.llm.components import components
+from scorewright.llm.links import confirm, fine_bitmap, fine_differ, gram_sets, label, open_links, set_digest  # noqa: F401
 
 BITS = 512
 SMALL_TILE = 8
@@ -50,50 +51,11 @@ BUCKET_ENTRIES = 200_000
 HOT_TILE = 32
 
 
-def gram_sets(texts: list, k: int) -> list[np.ndarray]:
-    """The sorted distinct k-gram hashes of each text (fewer than k words: all words as one gram)."""
-    words, counts = C.word_hashes(texts, C.LOWER)
-    grams = C.gram_hashes(words, k)
-    out, at = [], 0
-    for n in counts:
-        if n == 0:
-            out.append(np.zeros(0, np.uint64))
-        elif n < k:
-            out.append(C.gram_hashes(words[at:at + n], int(n)))
-        else:
-            out.append(np.unique(grams[at:at + n - k + 1]))
-        at += int(n)
-    return out
-
-
-def set_digest(s: np.ndarray) -> int:
-    """Signed 64-bit digest of a set."""
-    total = C.mix64(s).sum(dtype=np.uint64) if len(s) else np.uint64(0)
-    return int(C.mix64(np.array([total + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
-
-
 def bitmap(s: np.ndarray) -> np.ndarray:
     bits = np.bincount((s >> np.uint64(20)).astype(np.int64) % BITS, minlength=BITS) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def fine_bitmap(s: np.ndarray) -> bytes:
-    """As ``bitmap``, of a power of two of at least four bits a gram; memory is that of the set."""
-    m = max(BITS, 1 << (4 * len(s) - 1).bit_length()) if len(s) else BITS
-    bucket, count = np.unique((s >> np.uint64(20)) & np.uint64(m - 1), return_counts=True)
-    odd = bucket[count % 2 == 1].astype(np.int64)
-    out = np.zeros(m // 8, np.uint8)
-    np.bitwise_or.at(out, odd >> 3, (128 >> (odd & 7)).astype(np.uint8))
-    return out.tobytes()
-
-
-def fine_differ(x: bytes, y: bytes) -> int:
-    """Bits in which two fine bitmaps differ, at the length of the shorter one."""
-    m = min(len(x), len(y))
-    a, b = (np.bitwise_xor.reduce(np.frombuffer(z, np.uint64).reshape(-1, m // 8), axis=0) for z in (x, y))
-    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
-
-
 class Families:
     """Parts of the families of set sizes for one similarity threshold."""
 
@@ -181,20 +143,6 @@ def _meta(k: int):
     return run
 
 
-def _grams(k: int, fine: bool):
-    """Of each document with words its class, its size, and its fine bitmap or its sorted array."""
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("grams", pa.binary())])
-
-    def run(batches):
-        for batch in batches:
-            for _, texts in C.slices(batch, "text"):
-                sets = [s for s in gram_sets(texts, k) if len(s)]
-                yield pa.record_batch([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                                       pa.array([fine_bitmap(s) if fine else s.tobytes() for s in sets], pa.binary())], schema=schema)
-
-    return run
-
-
 def _runs(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (sig, node) in order, and where each sig starts."""
     order = np.lexsort((node, sig))
@@ -269,26 +217,6 @@ def _tiles(buckets: int):
     return run
 
 
-def _overlap(x: bytes, y: bytes) -> int:
-    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    at = np.searchsorted(x, y)
-    return int((x[np.minimum(at, len(x) - 1)] == y).sum())
-
-
-def _check(percent: int, fine: bool):
-    """The pairs whose overlap is large enough: by its upper bound from fine bitmaps, or as it is from sorted arrays."""
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("u_doc", pa.int64()), ("v_doc", pa.int64())])
-
-    def run(batches):
-        for batch in batches:
-            total, x, y = (batch.column(i).to_pylist() for i in range(4, 7))
-            both = [(t - fine_differ(a, b)) // 2 if fine else _overlap(a, b) for t, a, b in zip(total, x, y, strict=True)]
-            keep = pa.array([100 * o >= percent * (t - o) for t, o in zip(total, both, strict=True)], pa.bool_())
-            yield pa.record_batch([batch.column(i).filter(keep) for i in range(4)], schema=schema)
-
-    return run
-
-
 def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that the bitmaps' bound lets pass, with a document of each class and the bound."""
     differ = sum((F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in BIT_COLUMNS), F.lit(0))
@@ -298,79 +226,14 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             .select("u", "v", F.col("x.low").alias("u_doc"), F.col("y.low").alias("v_doc"), F.expr("most / (x.n + y.n - most)").alias("near")))
 
 
-def compare(docs: DataFrame, pairs: DataFrame, k: int, percent: int, fine: bool) -> DataFrame:
-    """Of the pairs (u, v, u_doc, v_doc) those that pass one check, made from the texts of only these documents."""
-    wanted = C.materialize(pairs.select(F.col("u_doc").alias("wanted")).union(pairs.select("v_doc")).distinct())
-    few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
-    grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-                          .mapInArrow(_grams(k, fine), "node long, n long, grams binary"))
-    return C.materialize(pairs.join(grams.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("x")), "u")
-                         .join(grams.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("y")), "v")
-                         .select("u", "v", "u_doc", "v_doc", F.col("n_u") + F.col("n_v"), "x", "y")
-                         .mapInArrow(_check(percent, fine), "u long, v long, u_doc long, v_doc long"))
-
-
-def intersect(docs: DataFrame, near: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs those that link: by fine bitmaps first, then by the sorted arrays of those that are left."""
-    left = compare(docs, near.select("u", "v", "u_doc", "v_doc"), k, percent, True)
-    return compare(docs, left, k, percent, False).select("u", "v")
-
-
-def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links among the pairs that join them as all links do, and the components. The bitmaps' bound comes first. Then
-    each class is checked with its most promising partner; pairs inside a component add nothing, so of the others only
-    those between different components are checked: arrays move about once a class, not once a pair."""
-    near = C.materialize(bounded(pairs, classes, percent))
-    best = near.groupBy("v").agg(F.max(F.struct("near", "u", "u_doc", "v_doc")).alias("b")).select("b.u", "v", "b.u_doc", "b.v_doc")
-    links = intersect(docs, C.materialize(best), k, percent)
-    linked = components(links)
-    of = lambda c: linked.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
-    rest = C.materialize(near.join(of("u"), "u", "left").join(of("v"), "v", "left")
-                         .filter(F.coalesce("u_in", "u") != F.coalesce("v_in", "v")).select("u", "v", "u_doc", "v_doc"))
-    if rest.limit(1).count():
-        links = links.unionByName(intersect(docs, rest, k, percent))
-        linked = components(links)
-    return links, linked
-
-
-def _block_pairs(percent: int):
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-
-    def run(key, rows):
-        i, j = key[1].as_py(), key[2].as_py()
-        node, n, comp = (rows.column(c).to_numpy() for c in ("node", "n", "component"))
-        bits = np.stack([rows.column(b).to_numpy() for b in BIT_COLUMNS], 1).view(np.uint64)
-        block = rows.column("block").to_numpy()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        u, v = [], []
-        for a in left:
-            r = right[(comp[right] != comp[a]) & ((node[right] > node[a]) if i == j else True)]
-            if not len(r):
-                continue
-            differ = np.bitwise_count(bits[r] ^ bits[a]).sum(1, dtype=np.int64)
-            most = (n[r] + n[a] - differ) // 2
-            r = r[100 * most >= percent * (n[r] + n[a] - most)]
-            u.append(np.minimum(node[r], node[a]))
-            v.append(np.maximum(node[r], node[a]))
-        return pa.table([pa.array(np.concatenate(u) if u else [], pa.int64()), pa.array(np.concatenate(v) if v else [], pa.int64())], schema=schema)
-
-    return run
+def _may_link(percent: int):
+    """The bitmaps' bound as a test between one member of a block and others."""
 
+    def near(bits, n, a, r):
+        most = (n[r] + n[a] - np.bitwise_count(bits[r] ^ bits[a]).sum(1, dtype=np.int64)) // 2
+        return 100 * most >= percent * (n[r] + n[a] - most)
 
-def _open_pairs(big: DataFrame, linked: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across components of the large tiles that are not one component yet."""
-    member = (big.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    tile = (member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"),
-                                      F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
-            .filter("lo <> hi").groupBy("mark", "m").agg(F.min("sig").alias("sig")))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    tile = C.materialize(tile.select("sig", "m", blocks.alias("nb")))
-    rows = (C.join_by_key(member, tile, "sig", "m", big.count()).filter("nb is not null")
-            .join(classes.select("node", "n", *BIT_COLUMNS), "node")
-            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", *BIT_COLUMNS, "component", "block"))
-    return rows.groupBy("sig", "i", "j").applyInArrow(_block_pairs(percent), "u long, v long").distinct()
+    return near
 
 
 def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -399,15 +262,9 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = C.join_by_key(big, centers, "sig", "m", big.count()).filter("node <> u").select("u", F.col("node").alias("v"))
     pairs = C.materialize(small.unionByName(stars).distinct())
 
-    links, linked = verify(docs, pairs, classes, k, percent)
+    links, linked = confirm(docs, C.materialize(bounded(pairs, classes, percent)), k, percent)
     if big.limit(1).count():
-        more, _ = verify(docs, _open_pairs(big, linked, classes, percent), classes, k, percent)
-        if more.limit(1).count():
+        more = open_links(docs, big, linked, classes, k, percent, BIT_COLUMNS, _may_link(percent), BLOCK)
+        if more is not None:
             linked = components(links.unionByName(more))
-
-    # Only classes with copies or links have a component other than the document itself.
-    of_class = classes.select("node", "low", "copies").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = of_class.groupBy("component").agg(F.min("low").alias("component_id"), F.sum("copies").alias("size")).filter("size > 1")
-    shared = C.materialize(of_class.join(lowest, "component").select("node", "copies", "component_id"))
-    return (C.join_by_key(meta.select("doc_id", "n", "node"), shared, "node", "copies", rows)
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    return label(meta, classes, linked, rows)
