@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import (decontaminate, exact_dedup, license_scan, mixing, ngram_join, pii, substring_dedup, token_counts, toxicity, url_filter)
+from scorewright.llm import (decontaminate, exact_dedup, license_scan, minhash_join, mixing, ngram_join, pii, substring_dedup, token_counts, toxicity, url_filter)
 from scorewright.llm.common import ALNUM_WORDS, SPACE_WORDS, table
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -56,16 +56,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.histogram(token_counts.encoded_lengths(table(spark, sf_dir, "documents")))
 
 
+def op11_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_decontaminate, op4_pii, op5_exact_dedup, op6_substring_dedup,
-                                   op7_license_scan, op8_toxicity, op9_mixing, op10_token_counts)}
+                                   op7_license_scan, op8_toxicity, op9_mixing, op10_token_counts, op11_minhash_join)}
 
 _PATTERNS = "|".join(f"({r.pattern})" for r in url_filter.PATTERN_RULES)
 _HOST_CASES = " UNION ALL ".join(
     f"SELECT '{v}' AS v, '{r}' AS r, '{r.partition('/')[0]}' AS h, '/{r.partition('/')[2]}' AS p" for v, r in url_filter.HOST_RULES)
 _WEIGHTS = ", ".join(map(str, mixing.WEIGHTS))
 
-SQL = {
-    "op1_ngram_join": f"""
+def _links_sql(percent: int, more: str = "") -> str:
+    """Sets of 3-word shingles, links by exact counts, and the smallest doc_id reached."""
+    return f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '{SPACE_WORDS}') AS w FROM documents
 ), sets AS (
@@ -74,11 +79,16 @@ WITH RECURSIVE words AS (
 ), grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 links AS (
   SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
 ), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN both_ways ON x = r)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.c AS component_id
-FROM sets s JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m USING (doc_id)""",
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.c AS component_id{more}
+FROM sets s JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m USING (doc_id)"""
+
+
+SQL = {
+    "op1_ngram_join": _links_sql(90),
+    "op11_minhash_join": _links_sql(85, ", s.doc_id = m.c AS kept"),
     "op2_url_filter": f"""
 WITH urls AS (
   SELECT page_id, url, position('://' IN coalesce(url, '')) > 0 AS whole, substr(url, position('://' IN url) + 3) AS rest FROM pages
