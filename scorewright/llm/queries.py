@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import (decontaminate, exact_dedup, license_scan, minhash_join, mixing, ngram_join, pii, substring_dedup, token_counts, toxicity, url_filter)
+from scorewright.llm import (collocations, decontaminate, exact_dedup, lexical_search, license_scan, minhash_join, mixing, ngram_join, pii, substring_dedup, token_counts, toxicity, url_filter)
 from scorewright.llm.common import ALNUM_WORDS, SPACE_WORDS, table
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -60,8 +60,17 @@ def op11_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_decontaminate, op4_pii, op5_exact_dedup, op6_substring_dedup,
-                                   op7_license_scan, op8_toxicity, op9_mixing, op10_token_counts, op11_minhash_join)}
+                                   op7_license_scan, op8_toxicity, op9_mixing, op10_token_counts, op11_minhash_join, op12_lexical_search,
+                                   op13_collocations)}
 
 _PATTERNS = "|".join(f"({r.pattern})" for r in url_filter.PATTERN_RULES)
 _HOST_CASES = " UNION ALL ".join(
@@ -139,4 +148,40 @@ laid AS (
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
   CAST(greatest(least(pos + size, floor(target)) - pos, 0) + greatest(least(pos + source_size + size, floor(target)) - pos - source_size, 0) AS BIGINT) AS taken FROM laid""",
+    "op12_lexical_search": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '{ALNUM_WORDS}') AS w FROM documents
+), sized AS (SELECT r, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM sized),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '{ALNUM_WORDS}')) AS term FROM benchmark),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, whole GROUP BY term, big_n
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * big_n) // big_l))))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN weights USING (term) JOIN sized USING (r), whole GROUP BY item_id, r, doc_id
+), ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50""",
+    "op13_collocations": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), listed AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+one AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM listed) GROUP BY ALL),
+two AS (SELECT lang, g[1] AS x, g[2] AS y, count(*) AS f FROM (SELECT lang, unnest([w[i:i + 1] FOR i IN range(1, len(w))]) AS g FROM listed) GROUP BY ALL HAVING count(*) >= 10),
+three AS (SELECT lang, g[1] AS x, g[2] AS y, g[3] AS z, count(*) AS f FROM (SELECT lang, unnest([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) AS g FROM listed) GROUP BY ALL HAVING count(*) >= 10),
+sums AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang),
+inner_pairs AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY ALL),
+found AS (
+  SELECT p.lang, p.x || ' ' || p.y AS phrase, p.f AS a, u.f AS l, v.f AS r, CAST((1000000::HUGEINT * p.f * p.f) // (u.f::HUGEINT * v.f) AS BIGINT) AS score
+  FROM two p JOIN one u ON u.lang = p.lang AND u.x = p.x JOIN one v ON v.lang = p.lang AND v.x = p.y
+  WHERE NOT EXISTS (SELECT 1 FROM inner_pairs i WHERE i.lang = p.lang AND i.x = p.x AND i.y = p.y AND 100 * i.f >= 50 * p.f)
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM (
+    SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.f AS a, u.f AS l1, q.f AS r1, p.f AS l2, v.f AS r2,
+      CAST((1000000::HUGEINT * t.f * t.f) // (u.f::HUGEINT * q.f) AS BIGINT) AS s1, CAST((1000000::HUGEINT * t.f * t.f) // (p.f::HUGEINT * v.f) AS BIGINT) AS s2
+    FROM three t JOIN one u ON u.lang = t.lang AND u.x = t.x JOIN one v ON v.lang = t.lang AND v.x = t.z
+      JOIN two p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y JOIN two q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z)
+), ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM found)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sums USING (lang) WHERE rank <= 2000""",
 }
