@@ -3,8 +3,8 @@
 A *class* is all documents with the same set (a 64-bit digest). Candidates come as pairs of classes (``confirm``) or as
 large groups of classes (``open_links``); both are decided on the full sorted arrays of hashes. What they return joins
 the classes as all links do, without a row for each pair: ``confirm`` checks a class's best partner first, then only pairs
-between different components; ``open_links`` checks blocks of a group in tasks that hold a union-find, so that a task
-returns fewer links than it has members."""
+between different components; ``open_links`` compares blocks of a group in tasks that hold a union-find, so that a task
+returns fewer pairs than it has members."""
 
 from __future__ import annotations
 
@@ -21,6 +21,8 @@ from scorewright.llm.components import components
 #: Most classes and bytes of sorted arrays in one block of a large group.
 BLOCK = 1024
 BLOCK_BYTES = 24 << 20
+#: Rounds of checking forests by fine bitmaps, and refuted pairs that may be broadcast to the next one.
+ROUNDS, REFUTED = 3, 200_000
 #: Bits of the smallest fine bitmap.
 FINE_BITS = 512
 
@@ -169,6 +171,57 @@ def _flag(sketch: list[str], near: Callable, percent: int):
     return run
 
 
+class _Fine:
+    """Fine bitmaps of a block's members, folded to every length that occurs: a pair is compared at the shorter one's."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.length = np.array([len(b) for b in blobs], np.int64)
+        self.at: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for m in np.unique(self.length):
+            held = np.flatnonzero(self.length >= m)
+            place = np.full(len(blobs), -1, np.int64)
+            place[held] = np.arange(len(held))
+            folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(blobs[i], np.uint64).reshape(-1, m // 8), axis=0) for i in held])
+            self.at[int(m)] = (place, folded)
+
+    def differ(self, a: int, r: np.ndarray) -> np.ndarray:
+        """Bits in which member ``a`` differs from each of the others."""
+        out = np.empty(len(r), np.int64)
+        short = np.minimum(self.length[r], self.length[a])
+        for m in np.unique(short):
+            place, bits = self.at[int(m)]
+            mine = short == m
+            out[mine] = np.bitwise_count(bits[place[r[mine]]] ^ bits[place[a]]).sum(1, dtype=np.int64)
+        return out
+
+
+def _forest(sketch: list[str], near: Callable, percent: int, refuted):
+    """Pairs that the fine bitmaps let pass and that join the components of a block pair's members: fewer than the members.
+    A pair whose ends were joined by others is not returned; ``refuted`` pairs join nothing."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(key, rows):
+        b, no = _Block(key, rows, sketch, percent), refuted.value
+        blobs = rows.column("grams").combine_chunks()
+        fine = _Fine([blobs[int(i)].as_py() for i in b.first])
+        u, v = [], []
+        for a in b.left:
+            r = b.partners(a, near)
+            if not len(r):
+                continue
+            total = b.n[r] + b.n[a]
+            most = (total - fine.differ(a, r)) // 2
+            for x in r[100 * most >= percent * (total - most)]:
+                pair = (int(min(b.node[a], b.node[x])), int(max(b.node[a], b.node[x])))
+                if b.component[x] != b.component[a] and pair not in no:
+                    u.append(pair[0])
+                    v.append(pair[1])
+                    b.component[b.component == b.component[x]] = b.component[a]
+        return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
+
+    return run
+
+
 def _exact(sketch: list[str], near: Callable, percent: int):
     """Links that join the components of a block pair's members, found on the sorted arrays: fewer than the members."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -213,8 +266,12 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
     ``groups``: ``sig, node``, one row a member. ``linked``: ``node, component`` so far. ``classes``: ``node, low`` (a
     document of the class), ``n`` and the ``sketch`` columns. ``near(sketches, sizes, a, others)`` says which of the
     others may link with member ``a``; it must let every link pass. Groups that are one component by now are done.
-    The others are cut into blocks; for each pair of blocks one task compares sketches and returns the members that
-    are still open, and for these only the sorted arrays are made, and checked with a union-find."""
+
+    The others are cut into blocks; for each pair of blocks one task compares sketches and returns the members that are
+    still open. These get fine bitmaps, by which a task returns a forest of pairs that join its members if they are
+    links; the forest's pairs are checked on the sorted arrays. If all are links, nothing that they hid is missing. Else
+    the next round leaves the refuted pairs out; after ``ROUNDS`` of them, or with too many refuted pairs to broadcast, the
+    blocks are decided on the sorted arrays themselves."""
     member = groups.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")).join(classes.select("node", "n"), "node")
     tile = (member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("grams"),
                                       F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
@@ -232,12 +289,37 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
     left = C.materialize(rows.groupBy("sig", "i", "j").applyInArrow(_flag(sketch, near, percent), types))
     if not left.limit(1).count():
         return None
-    wanted = C.materialize(left.select("node").distinct().join(classes.select("node", "low"), "node").select(F.col("low").alias("wanted")).distinct())
-    few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
-    arrays = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-                           .mapInArrow(_grams(k, False), "node long, n long, grams binary"))
-    return C.materialize(left.join(arrays.select("node", "grams"), "node").groupBy("sig", "i", "j")
-                         .applyInArrow(_exact(sketch, near, percent), "u long, v long").distinct())
+    low = classes.select("node", "low")
+
+    def made(nodes: DataFrame, fine: bool) -> DataFrame:
+        """Fine bitmaps or sorted arrays of the classes of ``nodes``, from one document of each."""
+        wanted = C.materialize(nodes.distinct().join(low, "node").select(F.col("low").alias("wanted")).distinct())
+        few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
+        return C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+                             .mapInArrow(_grams(k, fine), "node long, n long, grams binary").select("node", "grams"))
+
+    bitmaps, links, refuted = made(left.select("node"), True), None, set()
+    for _ in range(ROUNDS):
+        no = docs.sparkSession.sparkContext.broadcast(refuted)
+        pairs = C.materialize(left.join(bitmaps, "node").groupBy("sig", "i", "j").applyInArrow(_forest(sketch, near, percent, no), "u long, v long").distinct()
+                              .join(low.select(F.col("node").alias("u"), F.col("low").alias("u_doc")), "u")
+                              .join(low.select(F.col("node").alias("v"), F.col("low").alias("v_doc")), "v").select("u", "v", "u_doc", "v_doc"))
+        if not pairs.limit(1).count():
+            return links
+        good = compare(docs, pairs, k, percent, False).select("u", "v").distinct()
+        links = good if links is None else links.unionByName(good)
+        wrong = pairs.join(good, ["u", "v"], "left_anti").select("u", "v")
+        if not wrong.limit(1).count():
+            return links
+        found = C.materialize(components(links.unionByName(linked.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")))))
+        left = C.materialize(left.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                             .select(*left.columns))
+        if wrong.count() + len(refuted) > REFUTED:
+            break
+        refuted |= {(r.u, r.v) for r in wrong.collect()}
+    arrays = made(left.select("node"), False)
+    more = C.materialize(left.join(arrays, "node").groupBy("sig", "i", "j").applyInArrow(_exact(sketch, near, percent), "u long, v long").distinct())
+    return more if links is None else links.unionByName(more)
 
 
 def label(meta: DataFrame, classes: DataFrame, linked: DataFrame, rows: int) -> DataFrame:
