@@ -130,13 +130,13 @@ class Trie:
         self.order, self.parts, self.common = order, parts, common
         self.words, self.trees, self.size = Words(), {}, 0
 
-    def partition(self, ids: np.ndarray) -> np.ndarray:
-        """Prefix partitions of n-grams (rows of word ids)."""
-        first = self.words.hashes[ids[:, 0]]
+    def partition(self, ids: list[np.ndarray]) -> np.ndarray:
+        """Prefix partitions of n-grams, given the ids of their first words and of their second ones."""
+        first = self.words.hashes[ids[0]]
         h = C.mix64(first)
         if self.order > 1 and len(self.common):
             hot = np.isin(first, self.common)
-            h[hot] ^= C.mix64(C.mix64(self.words.hashes[ids[hot, 1]]))
+            h[hot] ^= C.mix64(C.mix64(self.words.hashes[ids[1][hot]]))
         return (h % np.uint64(self.parts)).astype(np.int64)
 
     def add(self, lang: str, ids: np.ndarray) -> None:
@@ -144,9 +144,9 @@ class Trie:
         code = ids[:, 0] << 2 * WORD_BITS
         for j in range(1, self.order):
             code = code | ids[:, j] << (2 - j) * WORD_BITS
-        code, first, counts = np.unique(code, return_index=True, return_counts=True)
-        part = self.partition(ids[first])
-        order = np.argsort(part, kind="stable")
+        code, counts = np.unique(code, return_counts=True)
+        part = self.partition([(code >> (2 - j) * WORD_BITS) & ((1 << WORD_BITS) - 1) for j in range(min(self.order, 2))])
+        order = np.argsort(part.astype(np.uint16) if self.parts <= 1 << 16 else part, kind="stable")
         part, code, counts = part[order], code[order], counts[order]
         cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         for a, b in zip(cut, np.r_[cut[1:], len(part)]):
