@@ -3,8 +3,9 @@
 All rolling 3-word hashes of every document are joined with the template positions that have the
 same hash (a broadcast table: the templates are a fixed short list). A match votes for the diagonal
 ``document position - template position``. Votes are summed by (document, template, diagonal);
-diagonals at most ``GAP`` apart (words inserted or left out) are merged; a merged run is a
-span of the license if it covers enough of the template. A phrase needs every vote on one diagonal."""
+diagonals at most ``GAP`` apart (words inserted or left out) are merged. A merged run with enough of the template's grams is
+a candidate, and a span of the license if enough of them also stand in the template's order in one stretch of the text that
+is little longer than the template's. A phrase needs every vote on one diagonal."""
 
 from __future__ import annotations
 
@@ -19,6 +20,8 @@ from scorewright.llm.decontaminate import text_mark
 K = 3
 GAP = 3
 COVER = 0.6
+#: A stretch of text may be so many times the stretch of template that it matches, and so many words, longer.
+STRETCH, SLACK = 1.25, 8
 #: A shorter template (in grams) must be there in full: licenses differ in a word or two.
 SHORT = 12
 
@@ -76,7 +79,7 @@ def _counts(batches):
 
 def spans(docs: DataFrame, cover: float = COVER) -> DataFrame:
     """``doc_id, mark, label, start, end, score, base``: licenses found (words from 0, end exclusive).
-    ``score`` is the part of the template's grams that voted; phrases have ``base`` set and score 1."""
+    ``score`` is the part of the template's grams that stand there in order; phrases have ``base`` set and score 1."""
     docs = C.narrow(docs, "doc_id", "text")
     spark = docs.sparkSession
     labels = [*PHRASES.values(), *NOTICES]
@@ -91,11 +94,44 @@ def spans(docs: DataFrame, cover: float = COVER) -> DataFrame:
     begins = F.when(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(line) > GAP), 1).otherwise(0)
     merged = (votes.withColumn("begins", begins).withColumn("run", F.sum("begins").over(line))
               .groupBy("doc_id", "mark", "template", "label", "grams", "base", "run")
-              .agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.min(F.col("diagonal") + F.array_min("ats")).alias("start"),
-                   (F.max(F.col("diagonal") + F.array_max("ats")) + K).alias("end")))
-    score = F.size("ats") / F.col("grams")
-    return (merged.withColumn("score", score).filter((F.col("base") & (F.col("score") == 1.0)) | (~F.col("base") & (F.col("score") >= F.when(F.col("grams") < SHORT, 1.0).otherwise(cover))))
-            .select("doc_id", "mark", "label", "start", "end", "score", "base"))
+              .agg(F.collect_list(F.struct("diagonal", "ats")).alias("votes"), F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("voted"))
+              .withColumn("least", F.when(F.col("base") | (F.col("grams") < SHORT), F.col("grams")).otherwise(F.ceil(F.col("grams") * F.lit(cover))))
+              .filter("voted >= least").select("doc_id", "mark", "label", "base", "grams", "least", "votes"))
+    return merged.mapInArrow(_verified, "doc_id long, mark long, label string, start long, end long, score double, base boolean")
+
+
+def best_chain(votes: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """The longest chain of (diagonal, place in the template) votes in which text and template go on together, as (grams,
+    first word, end): places rise in both, neighbours' diagonals differ by at most ``GAP``, and the chain's stretch of
+    text is at most ``STRETCH`` times its stretch of template, and ``SLACK`` words. Work is bounded by the votes times the
+    words that one chain may span."""
+    at = sorted((d + p, p) for d, p in votes)
+    length, first = [1] * len(at), [i for i in range(len(at))]
+    low = 0
+    longest = max(p for _, p in at) - min(p for _, p in at) + 1
+    for i, (x, p) in enumerate(at):
+        while x - at[low][0] > STRETCH * longest + SLACK:
+            low += 1
+        for j in range(i - 1, low - 1, -1):
+            y, q = at[j]
+            if y < x and q < p and abs((x - y) - (p - q)) <= GAP and length[j] >= length[i]:
+                begin = at[first[j]]
+                if x - begin[0] <= STRETCH * (p - begin[1]) + SLACK:
+                    length[i], first[i] = length[j] + 1, first[j]
+    best = max(range(len(at)), key=lambda i: (length[i], -at[i][0]))
+    return length[best], at[first[best]][0], at[best][0] + K
+
+
+def _verified(batches):
+    """Candidate runs whose grams stand in the template's order in one bounded stretch of the text."""
+    kinds = [("doc_id", pa.int64()), ("mark", pa.int64()), ("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("base", pa.bool_())]
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            n, start, end = best_chain([(v["diagonal"], p) for v in r["votes"] for p in v["ats"]])
+            if n >= r["least"]:
+                out.append((r["doc_id"], r["mark"], r["label"], start, end, n / r["grams"], r["base"]))
+        yield pa.record_batch([pa.array([x[i] for x in out], k) for i, (_, k) in enumerate(kinds)], names=[n for n, _ in kinds])
 
 
 def scan(docs: DataFrame) -> DataFrame:
