@@ -23,8 +23,6 @@ from scorewright.llm import common as C
 
 #: Labelled rows from which the lexicon and the fit are learned at most (about so many, by a hash).
 TRAIN_ROWS = 20_000
-#: Entries of the lexicon at most; the weakest are left out.
-LEXICON = 5_000
 #: Rows in which an entry must be seen as if the usual share of them were toxic, and the least share.
 PRIOR_ROWS, LEAST_SHARE = 5.0, 0.5
 PREFIXES = range(4, 9)
@@ -36,18 +34,28 @@ LOOKALIKES = str.maketrans("абвгеіјкорсухԁһмнтѕαεικνορ
 LOOKALIKE = re.compile("[Ͱ-ϿЀ-ԯ！-～]")
 WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 SUBSTITUTES = str.maketrans("013457@$!", "oieastasi")
-MIXED = re.compile(r"(?<!\w)(?=[\w@$!]*[^\W\d_])(?=[\w@$!]*[0-9@$!])[\w@$!]*[\w@$]")
+#: A run of word characters and signs that may stand for letters, and a letter in it.
+RUN = re.compile(r"[\w@$!]+")
+LETTER = re.compile(r"[^\W\d_]")
 SUBSTITUTED = re.compile("[0-9@$!]")
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def _unmask(run: re.Match) -> str:
+    """A run with a letter and a sign or digit has these back as letters; exclamation marks at its end are none."""
+    held = run[0].rstrip("!")
+    if SUBSTITUTED.search(held) and LETTER.search(held):
+        return held.translate(SUBSTITUTES) + run[0][len(held):]
+    return run[0]
+
+
 def fold(text: str | None) -> list[str]:
     """Folded words of a text."""
     t = (text or "").lower()
     if not t.isascii() and LOOKALIKE.search(t):
         t = t.translate(WIDE).lower().translate(LOOKALIKES)
     if SUBSTITUTED.search(t):
-        t = MIXED.sub(lambda m: m[0].translate(SUBSTITUTES), t)
+        t = RUN.sub(_unmask, t)
     return WORD.findall(t)
 
 
@@ -147,16 +155,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30)
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
     """Lexicon and fit from ``labels`` (``doc_id, toxic``) of ``docs`` (``doc_id, text``). Held-out rows
     (crc32 of the doc_id as text, mod 5, is 0) and null labels are never read. At most about ``rows``
-    labelled rows, chosen by a hash of doc_id, are used; equal texts count once. Without labels of both
+    labelled rows, chosen by a hash of doc_id, are used; equal texts count once, and an id or a text with labels of
+    both kinds is toxic, whatever the order of rows. Without labels of both
     kinds the lexicon is empty and every score is the same."""
     docs = C.narrow(docs, "doc_id", "text")
     train = (C.narrow(labels, "doc_id", "toxic").filter("doc_id is not null and toxic is not null").filter(~held_out("doc_id"))
-             .select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic")).dropDuplicates(["doc_id"]))
+             .select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"))
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     n = train.count()
     if n > rows:
         train = train.filter(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1_000_000)) < int(1_000_000 * rows / n))
     sample = C.materialize(docs.join(F.broadcast(train), "doc_id").select("text", "toxic", F.xxhash64("text").alias("h"))
-                           .dropDuplicates(["h"]).select("text", "toxic"))
+                           .groupBy("h").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"))
     n1, n0 = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
     if not n1 or not n0:
         return Model({}, exceptions, (math.log((n1 + 0.5) / (n0 + 0.5)), 0.0, 0.0, 0.0))
@@ -165,8 +175,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions
     terms = (sample.mapInArrow(_terms, "term string, toxic long, clean long").groupBy("term")
              .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).withColumn("share", share)
              .filter(F.col("share") >= LEAST_SHARE).withColumn("weight", F.log(F.col("share") / (1 - F.col("share"))) - math.log(prior / (1 - prior)))
-             .orderBy(F.desc("weight"), "term").limit(LEXICON).select("term", "weight").collect())
-    model = Model({r[0]: r[1] for r in terms if r[1] > 0}, exceptions)
+             .filter("weight > 0").select("term", "weight").collect())
+    model = Model({r[0]: r[1] for r in sorted(terms)}, exceptions)
     got = sample.mapInArrow(_feature_rows(model), "x0 double, x1 double, x2 double, toxic long").collect()
     got.sort(key=tuple)
     x = np.array([tuple(r)[:3] for r in got], float)
