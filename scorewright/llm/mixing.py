@@ -8,6 +8,9 @@ hash of their id, laid end to end and cut into blocks of the same number of word
 second epoch. The slot that would pass the target is cut at it. A source that the schedule left short of the blocks up to its target
 (as small ones are: each epoch may end in a part of a block) gets its missing ranks after the last slot.
 
+What the mix takes of a source follows from its target; where in the mix it comes follows from the schedule. Each document carries
+the first slot that takes words of it, so documents in the order of ``first_slot`` are the mix, every stretch of it in proportion.
+
 DataFrame operations only. Running sums and ranks are taken in two levels (bucket totals, then within a
 bucket; n rows have about sqrt(n) buckets, so both levels stay small), so neither a source with a third of all documents nor its slots meet in one task."""
 
@@ -63,7 +66,7 @@ def _running(rows: DataFrame, group: str, bucket: str, order: list[str], amount:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs``: ``doc_id, text, source`` (others ignored). One row for each input row: ``doc_id, size,
-    source_size, target, taken``.
+    source_size, target, taken, first_slot`` (the slot at which its first words come; -1 if none are taken).
 
     Size is the number of words (null and empty texts: 0, taken 0). A null source is a source of its
     own, the last one. ``taken`` is at most ``most`` (up to 2) times the size. The order of documents depends
@@ -97,7 +100,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
               .withColumn("cell", F.floor(F.col("point") * CELLS / POINTS)))
     dealt = (points.join(F.broadcast(edges) if sources <= C.HEAVY_KEYS * 100 else edges, "cell").filter("point >= lo and point < hi")
              .withColumn("bucket", F.floor(F.col("id") / math.isqrt(slots))).withColumn("one", F.lit(1)))
-    ranked = _running(dealt, "s", "bucket", ["id"], "one", "rank").select("s", "source_size", "target", "rank")
+    ranked = _running(dealt, "s", "bucket", ["id"], "one", "rank").select("s", "source_size", "target", "rank", F.col("id").alias("slot"))
     n = F.ceil(F.col("source_size") / block_words)
     # Ranks up to the target that no slot was dealt for.
     whole = F.floor("target")
@@ -106,18 +109,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
              .withColumn("got", F.coalesce("got", F.lit(0)).cast("long")).filter("got < needed"))
     missing = (short.withColumn("part", F.explode(F.sequence(F.floor(F.col("got") / RANKS), F.floor((F.col("needed") - 1) / RANKS)))).repartition("s", "part")
                .select("s", "source_size", "target", F.explode(F.sequence(F.greatest(F.col("got"), F.col("part") * RANKS),
-                                                                        F.least(F.col("needed") - 1, F.col("part") * RANKS + (RANKS - 1)))).alias("rank")))
+                                                                        F.least(F.col("needed") - 1, F.col("part") * RANKS + (RANKS - 1)))).alias("rank"))
+               .withColumn("slot", F.lit(slots) + F.col("rank")))
     ranked = ranked.unionByName(missing)
     room = F.floor("target") - F.col("epoch") * F.col("source_size") - F.col("block") * block_words
     taken_blocks = (ranked.withColumn("epoch", F.floor(F.col("rank") / n)).withColumn("block", F.pmod(F.col("rank"), n))
                     .withColumn("words", F.least(F.lit(block_words), room)).filter("epoch < 2 and words > 0")
-                    .groupBy("s", "block").agg(F.max(F.when(F.col("epoch") == 0, F.col("words"))).alias("w0"), F.max(F.when(F.col("epoch") == 1, F.col("words"))).alias("w1")))
+                    .groupBy("s", "block").agg(*[F.max(F.when(F.col("epoch") == e, F.col(c))).alias(f"{c[0]}{e}") for e in (0, 1) for c in ("words", "slot")]))
 
     # Pieces of documents by block; a block's first words are taken.
     start, end = F.col("at") - F.col("block") * block_words, F.col("at") + F.col("size") - F.col("block") * block_words
     pieces = (laid.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words))))
               .join(taken_blocks, ["s", "block"]))
     of = lambda w: F.greatest(F.least(end, F.coalesce(F.col(w), F.lit(0))) - F.greatest(start, F.lit(0)), F.lit(0))
-    taken = pieces.groupBy("s", "at").agg(F.sum(of("w0") + of("w1")).alias("taken"))
-    return (laid.filter("size > 0").join(taken, ["s", "at"], "left").unionByName(laid.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
-            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+    first = F.least(F.when(of("w0") > 0, F.col("s0")), F.when(of("w1") > 0, F.col("s1")))
+    taken = pieces.groupBy("s", "at").agg(F.sum(of("w0") + of("w1")).alias("taken"), F.min(first).alias("first_slot"))
+    return (laid.filter("size > 0").join(taken, ["s", "at"], "left")
+            .unionByName(laid.filter("size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_slot": F.lit(-1).cast("long")}))
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+                    F.coalesce("first_slot", F.lit(-1)).cast("long").alias("first_slot")))
