@@ -23,22 +23,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id. Half of the ids (by a hash) are the history. Rows that repeat
-    a doc_id and its text are one document; one of them stays."""
+    a doc_id and its text are one document; one of them stays, also of a group without any id."""
     before = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0, F.lit(False))
-    found = C.materialize(exact_dedup.exact_dedup(docs.filter(before), docs.filter(~before)).select("doc_id", "kept", "group_size"))
-    left = C.drop_ids(docs, found.filter("not kept and doc_id is not null").select("doc_id"))
-    again = found.filter("kept and group_size > 1").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    twice = C.materialize(again.filter("doc_id is not null"))
+    found = C.materialize(exact_dedup.exact_dedup(docs.filter(before), docs.filter(~before)).select("doc_id", "mark", "kept", "group_size", "text_sha256"))
+    left = C.drop_rows(docs, found.filter("not kept").select("doc_id", "mark"))
+    again = found.filter("kept and group_size > 1").groupBy("doc_id", "text_sha256").agg(F.collect_set("mark").alias("marks"), F.count("*").alias("n"))
+    twice = C.materialize(again.filter("n > 1").select("doc_id", F.explode("marks").alias("mark")))
     if not twice.limit(1).count():
         return left
-    rows = left.join(F.broadcast(twice) if twice.count() <= C.BROADCAST_IDS else twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return C.drop_ids(left, twice).unionByName(rows.select(*left.columns))
+    one = C.only_rows(left, twice).withColumn("_same", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "_same"])
+    return C.drop_rows(left, twice).unionByName(one.select(*left.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents (five-word shingles, similarity 0.8) the one with the smallest doc_id."""
-    found = C.materialize(ngram_join.link_components(docs, k=5, percent=80).filter("doc_id <> component_id").select("doc_id"))
-    return C.drop_ids(docs, found)
+    return C.drop_rows(docs, C.materialize(ngram_join.near_copies(docs, k=5, percent=80)))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

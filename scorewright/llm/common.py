@@ -131,12 +131,27 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix64(h)
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents without those whose ``doc_id`` is in ``ids`` (one column, materialized).
-    The id list is broadcast when it is small; otherwise both sides are shuffled."""
-    ids = ids.distinct()
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti")
+def text_key():
+    """A hash of the row's text: with doc_id it names a row, also where an id is null or stands on several texts."""
+    return F.xxhash64("text")
+
+
+def _in_rows(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
+    named = named.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    small = named.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_mark"))
+    return docs.join(F.broadcast(named) if small else named, same, how)
+
+
+def drop_rows(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The documents without the rows that ``named`` (``doc_id, mark``; materialized) names by id and text. A null id is a
+    value like others. The list is broadcast when it is small; otherwise both sides are shuffled."""
+    return _in_rows(docs, named, "left_anti")
+
+
+def only_rows(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The documents that ``named`` names, see ``drop_rows``."""
+    return _in_rows(docs, named, "left_semi")
 
 
 def join_by_key(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int) -> DataFrame:

@@ -130,7 +130,7 @@ def _scan(sent):
                     a = place[mine] - starts[i]
                     spans[i] = _merged(np.stack([a, a + block.lengths[which[mine]]], 1)).ravel().tolist()
                     items[i] = sorted({item for w in set(which[mine].tolist()) for item, _ in block.places[w] if item is not None})
-                yield pa.record_batch([_column(rows, "doc_id"), text_mark(texts), pa.array(counts), pa.array(spans, pa.list_(pa.int64())),
+                yield pa.record_batch([_column(rows, "doc_id"), _column(rows, "mark"), pa.array(counts), pa.array(spans, pa.list_(pa.int64())),
                                        pa.array(items, pa.list_(pa.int64()))], schema=HITS_SCHEMA)
 
     return run
@@ -170,15 +170,9 @@ def _blocks(benchmark: DataFrame, window: int):
         yield items.sparkSession.sparkContext.broadcast(TestBlock([(r[0], r[1]) for r in part.toLocalIterator()], window))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """For each row of ``docs`` (``doc_id, text``; others ignored): ``doc_id, n_words, n_hit, n_items,
-    items_sha256, contaminated``, against ``benchmark`` (``item_id, text``).
-
-    A window is ``window`` consecutive words of an item (all words of a shorter one; items without words
-    have none). A word inside any occurrence of a window is hit. Null and empty texts have no words.
-    An item with a null id marks words but is not counted or listed; equal ids count
-    once. Repeated rows give a row each. An empty benchmark hits nothing; an empty table gives no rows."""
-    docs = C.narrow(docs, "doc_id", "text")
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``contamination``, with ``mark``, the key of the row's text."""
+    docs = C.narrow(docs, "doc_id", "text").withColumn("mark", C.text_key())
     passes = [docs.mapInArrow(_scan(block), HITS) for block in _blocks(benchmark, window)]
     found = passes[0]
     if len(passes) > 1:
@@ -190,7 +184,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         found = (found.join(more, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")), "left")
                  .select("doc_id", "mark", "n_words", F.concat(F.coalesce("spans", F.array().cast("array<long>")), F.coalesce("s", F.array().cast("array<long>"))).alias("spans"),
                          F.concat(F.coalesce("items", F.array().cast("array<long>")), F.coalesce("i", F.array().cast("array<long>"))).alias("items")))
-    return found.mapInArrow(_finish, "doc_id long, mark long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean").drop("mark")
+    return found.mapInArrow(_finish, "doc_id long, mark long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """For each row of ``docs`` (``doc_id, text``; others ignored): ``doc_id, n_words, n_hit, n_items,
+    items_sha256, contaminated``, against ``benchmark`` (``item_id, text``).
+
+    A window is ``window`` consecutive words of an item (all words of a shorter one; items without words
+    have none). A word inside any occurrence of a window is hit. Null and empty texts have no words.
+    An item with a null id marks words but is not counted or listed; equal ids count
+    once. Repeated rows give a row each. An empty benchmark hits nothing; an empty table gives no rows."""
+    return judged(docs, benchmark, window).drop("mark")
 
 
 def _longest(sent):
@@ -228,6 +233,6 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents, all columns, without those that hold a test window."""
-    hit = C.materialize(contamination(docs, benchmark, window).filter("contaminated and doc_id is not null").select("doc_id"))
-    return C.drop_ids(docs, hit)
+    """The documents, all columns, without those that hold a test window. A row is named by its id and text: a null id
+    is a value like others, and a clean text that shares an id with a contaminated one stays."""
+    return C.drop_rows(docs, C.materialize(judged(docs, benchmark, window).filter("contaminated").select("doc_id", "mark")))

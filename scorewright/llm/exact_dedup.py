@@ -130,14 +130,15 @@ def look_up(index: DataFrame, fresh: DataFrame, shards: int) -> DataFrame:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest``: SHA-256 of the whole text (null is empty) in UTF-8."""
-    return C.narrow(docs, "doc_id", "text").select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest"))
+    """``doc_id, digest, mark``: SHA-256 of the whole text (null is empty) in UTF-8, and the key of the row's text."""
+    return C.narrow(docs, "doc_id", "text").select("doc_id", C.text_key().alias("mark"), F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest"))
 
 
 def exact_dedup(history: DataFrame, fresh: DataFrame) -> DataFrame:
     """Deduplicate ``fresh`` and ``history`` together; both have ``doc_id, text`` (others ignored).
 
-    One row for each input row: ``doc_id, keep_id, group_size, kept, text_sha256, seen_before``. The
+    One row for each input row: ``doc_id, keep_id, group_size, kept, text_sha256, seen_before, mark``
+    (``mark``: the key of the row's text, which tells null from empty). The
     largest doc_id of equal texts stays; rows that repeat that doc_id with the same text are the same
     document and all count as kept. A null doc_id loses to any other, and stays (keep_id null) only
     where no row of the group has one. Null and empty texts are equal. No rows give no rows."""
@@ -152,4 +153,4 @@ def exact_dedup(history: DataFrame, fresh: DataFrame) -> DataFrame:
     keep = F.when(F.col("known"), F.when(F.col("keep_id") != none, F.col("keep_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
                       keep.eqNullSafe(F.col("doc_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
-                      F.coalesce("seen_before", ~F.col("fresh")).alias("seen_before"))
+                      F.coalesce("seen_before", ~F.col("fresh")).alias("seen_before"), "mark")

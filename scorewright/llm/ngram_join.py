@@ -129,14 +129,14 @@ BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
 
 
 def _meta(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), *[(b, pa.int64()) for b in BIT_COLUMNS]])
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), *[(b, pa.int64()) for b in BIT_COLUMNS]])
 
     def run(batches):
         for batch in batches:
             for rows, texts in C.slices(batch, "text"):
                 sets = gram_sets(texts, k)
                 yield pa.record_batch([rows.column(rows.schema.get_field_index("doc_id")).cast(pa.int64()),
-                                       pa.array([len(s) for s in sets], pa.int64()),
+                                       rows.column(rows.schema.get_field_index("mark")), pa.array([len(s) for s in sets], pa.int64()),
                                        pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64()),
                                        *[pa.array(b) for b in np.stack([bitmap(s) for s in sets]).T.copy()]], schema=schema)
 
@@ -236,16 +236,10 @@ def _may_link(percent: int):
     return near
 
 
-def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs``: columns ``doc_id, text`` (others are ignored). Returns for each row ``doc_id``,
-    ``n_shingles`` and ``component_id``, the smallest doc_id that it reaches by links.
-
-    Null and empty texts, and texts of white space, have no grams, link with nothing and are their own
-    component. Repeated rows and equal texts are one class and give a row each. A null
-    doc_id takes part and gets the smallest other doc_id of its component (null if there is none).
-    An empty table gives no rows."""
+def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """The rows with their class, the classes, the components of classes with links, and the number of rows."""
     docs = C.narrow(docs, "doc_id", "text")
-    meta = C.materialize(docs.mapInArrow(_meta(k), "doc_id long, n long, node long, " + ", ".join(f"{b} long" for b in BIT_COLUMNS)))
+    meta = C.materialize(docs.withColumn("mark", C.text_key()).mapInArrow(_meta(k), "doc_id long, mark long, n long, node long, " + ", ".join(f"{b} long" for b in BIT_COLUMNS)))
     grams, rows = meta.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     classes = C.materialize(meta.filter("node is not null").groupBy("node")
                             .agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("n").alias("n"), *[F.first(b).alias(b) for b in BIT_COLUMNS]))
@@ -267,4 +261,29 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         more = open_links(docs, big, linked, classes, k, percent, BIT_COLUMNS, _may_link(percent), BLOCK)
         if more is not None:
             linked = components(links.unionByName(more))
-    return label(meta, classes, linked, rows)
+    return meta, classes, linked, rows
+
+
+def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``: columns ``doc_id, text`` (others are ignored). Returns for each row ``doc_id``,
+    ``n_shingles`` and ``component_id``, the smallest doc_id that it reaches by links.
+
+    Null and empty texts, and texts of white space, have no grams, link with nothing and are their own
+    component. Repeated rows and equal texts are one class and give a row each. A null
+    doc_id takes part and gets the smallest other doc_id of its component (null if there is none).
+    An empty table gives no rows."""
+    return label(*_linked(docs, k, percent))
+
+
+def near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, mark`` (the key of the text) of the documents that go so that one of each group of linked ones stays: the
+    one with the smallest doc_id (null last), of equal ids the one with the smallest mark. Documents without words stay."""
+    meta, classes, linked, rows = _linked(docs, k, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "mark"))
+    of_class = (meta.filter("node is not null").groupBy("node").agg(first.alias("first"), F.count("*").alias("copies"))
+                .join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    stays = of_class.groupBy("component").agg(F.min("first").alias("stays"), F.sum("copies").alias("size")).filter("size > 1")
+    shared = C.materialize(of_class.join(stays, "component").select("node", "copies", "stays"))
+    found = C.join_by_key(meta.filter("node is not null").select("doc_id", "mark", "node"), shared, "node", "copies", rows)
+    return (found.filter(F.col("stays").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("mark") == F.col("stays.mark"))))
+            .select("doc_id", "mark"))

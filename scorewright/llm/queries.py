@@ -32,7 +32,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the documents (by a hash of the id) are the history, the others come after it."""
     docs = table(spark, sf_dir, "documents")
     before = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
-    return exact_dedup.exact_dedup(docs.filter(before), docs.filter(~before)).drop("seen_before")
+    return exact_dedup.exact_dedup(docs.filter(before), docs.filter(~before)).drop("seen_before", "mark")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,11 +143,31 @@ level AS (
   FROM weighed WINDOW w AS (ORDER BY most / weight, source NULLS LAST)
 ), flat AS (SELECT min(k) AS k0, arg_min(level, k) AS flat FROM level WHERE level * weight <= most),
 targets AS (SELECT source, source_size, CASE WHEN k0 IS NULL OR k < k0 THEN most ELSE flat * weight END AS target FROM level, flat),
-laid AS (
-  SELECT doc_id, size, source_size, target, sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id) - size AS pos
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(least(pos + size, floor(target)) - pos, 0) + greatest(least(pos + source_size + size, floor(target)) - pos - source_size, 0) AS BIGINT) AS taken FROM laid""",
+numbered AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS s, floor(target) AS whole, ceil(source_size / {mixing.BLOCK_WORDS}::DOUBLE) AS n FROM targets),
+goal AS (SELECT sum(target) AS goal, CAST(floor(sum(target) / {mixing.BLOCK_WORDS}) + 1 AS BIGINT) AS base FROM targets),
+edges AS (
+  SELECT s, CAST(round(coalesce(sum(target) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / goal * {mixing.POINTS}) AS BIGINT) AS lo,
+    CAST(round(sum(target) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / goal * {mixing.POINTS}) AS BIGINT) AS hi
+  FROM numbered, goal WHERE target > 0 WINDOW w AS (ORDER BY s)
+), points AS (SELECT i, ((i % {1 << 31}) * {mixing.GOLDEN}) % {mixing.POINTS} AS point FROM (SELECT unnest(range(base + base // 16 + 1024)) AS i FROM goal)),
+dealt AS (SELECT s, i AS slot, row_number() OVER (PARTITION BY s ORDER BY i) - 1 AS rank FROM points JOIN edges ON point >= lo AND point < hi),
+needed AS (
+  SELECT s, n, whole, source_size, CAST(CASE WHEN whole <= source_size THEN ceil(whole / {mixing.BLOCK_WORDS}::DOUBLE)
+    ELSE n + ceil((whole - source_size) / {mixing.BLOCK_WORDS}::DOUBLE) END AS BIGINT) AS needed FROM numbered WHERE target > 0
+), ranks AS (SELECT s, n, whole, source_size, unnest(range(needed)) AS rank FROM needed),
+slots AS (
+  SELECT r.s, CAST(rank % n AS BIGINT) AS block, CAST(floor(rank / n) AS BIGINT) AS epoch, coalesce(slot, base + base // 16 + 1024 + rank) AS slot,
+    least({mixing.BLOCK_WORDS}, whole - floor(rank / n) * source_size - (rank % n) * {mixing.BLOCK_WORDS}) AS words
+  FROM ranks r LEFT JOIN dealt d USING (s, rank), goal
+), laid AS (
+  SELECT doc_id, size, t.source_size, t.target, t.s, sum(size) OVER (PARTITION BY t.s ORDER BY h, doc_id) - size AS pos
+  FROM sized d JOIN numbered t ON d.source IS NOT DISTINCT FROM t.source
+), pieces AS (
+  SELECT doc_id, least(pos + size - b.block * {mixing.BLOCK_WORDS}, words) - greatest(pos - b.block * {mixing.BLOCK_WORDS}, 0) AS got, slot
+  FROM laid l JOIN slots b ON l.s = b.s AND size > 0 AND b.block >= pos // {mixing.BLOCK_WORDS} AND b.block <= (pos + size - 1) // {mixing.BLOCK_WORDS}
+), sums AS (SELECT doc_id, sum(got) AS taken, min(slot) AS first_slot FROM pieces WHERE got > 0 GROUP BY doc_id)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, CAST(coalesce(first_slot, -1) AS BIGINT) AS first_slot
+FROM laid LEFT JOIN sums USING (doc_id)""",
     "op12_lexical_search": f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '{ALNUM_WORDS}') AS w FROM documents

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.llm import common as C
-from scorewright.llm.decontaminate import text_mark
 
 #: Bytes of a chunk: least, most, and the bits of the hash that are zero at a boundary (32 bytes on average after the least).
 LEAST, MOST, MASK_BITS = 16, 256, 5
@@ -96,25 +95,25 @@ def _chunks(batches):
                     d1.append((h & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
                     d2.append((h >> 64 & 0xFFFFFFFF) - (1 << 31))
             own = pa.array(owner, pa.int64())
-            yield pa.record_batch([rows.column(0).cast(pa.int64()).take(own), text_mark(texts).take(own),
+            yield pa.record_batch([rows.column(0).cast(pa.int64()).take(own), rows.column(2).take(own),
                                    *[pa.array(np.concatenate(c) if c else [], pa.int32()) for c in cols], pa.array(d1, pa.int64()), pa.array(d2, pa.int32())], schema=schema)
 
 
 def _runs(min_words: int):
-    names = ("doc_id", "start", "end", "n_words", "n_chunks", "keep_doc_id", "removed")
-    kinds = [pa.int64()] * 6 + [pa.bool_()]
+    names = ("doc_id", "start", "end", "n_words", "n_chunks", "keep_doc_id", "removed", "mark")
+    kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64()]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches):
         for batch in batches:
             out = []
-            for doc, chunks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, mark, chunks in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 chunks = sorted({(c["start"], c["end"], c["words"], c["low"]) for c in chunks})
                 held = []
                 for c in [*chunks, (-1, -1, 0, 0)]:
                     if held and (c[0] != held[-1][1] or (c[3] != doc) != (held[-1][3] != doc)):
                         if sum(h[2] for h in held) >= min_words:
-                            out.append((doc, held[0][0], held[-1][1], sum(h[2] for h in held), len(held), min(h[3] for h in held), held[0][3] != doc))
+                            out.append((doc, held[0][0], held[-1][1], sum(h[2] for h in held), len(held), min(h[3] for h in held), held[0][3] != doc, mark))
                         held = []
                     held.append(c)
             yield pa.record_batch([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], schema=schema)
@@ -125,12 +124,12 @@ def _runs(min_words: int):
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Passages of ``docs`` (``doc_id, text``; others ignored) that also stand in another document: ``doc_id, start, end``
     (characters, end exclusive)``, n_words, n_chunks, keep_doc_id`` (smallest doc_id that has a chunk of it)``, removed``
-    (false in the document that keeps it).
+    (false in the document that keeps it)``, mark`` (the key of the text it stands in).
 
     A chunk repeats if two different doc_ids hold it; repeats inside one document, and rows that repeat a doc_id, are no
     repeats. Null and empty texts have no chunks; rows with a null doc_id are left out, as they cannot be
     named. A text without repeated passage gives no row; an empty table gives no rows."""
-    docs = C.narrow(docs, "doc_id", "text").filter("doc_id is not null and text is not null")
+    docs = C.narrow(docs, "doc_id", "text").filter("doc_id is not null and text is not null").withColumn("mark", C.text_key())
     chunks = C.materialize(docs.mapInArrow(_chunks, CHUNKS))
     key = ["d1", "d2"]
     # Counts and least and largest document of each digest, summed up in each task before the shuffle.
@@ -142,14 +141,16 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     slim = chunks.select("doc_id", "mark", "start", "end", "words", *key)
     found = slim.join(heavy, key).unionByName(slim.join(F.broadcast(heavy.select(*key)), key, "left_anti").join(light, key))
     by_doc = (found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "end", "words", "low")).alias("chunks"))
-              .select("doc_id", "chunks"))
-    return by_doc.mapInArrow(_runs(min_words), "doc_id long, start long, end long, n_words long, n_chunks long, keep_doc_id long, removed boolean")
+              .select("doc_id", "mark", "chunks"))
+    return by_doc.mapInArrow(_runs(min_words), "doc_id long, start long, end long, n_words long, n_chunks long, keep_doc_id long, removed boolean, mark long")
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """``docs`` (``doc_id, text``) with the passages marked ``removed`` cut out of the texts."""
-    cut = passages.filter("removed").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    docs = C.narrow(docs, "doc_id", "text").join(cut, "doc_id", "left")
+    """``docs`` (``doc_id, text``) with the passages marked ``removed`` cut out of the texts. A passage is cut from the text
+    that it was found in alone, not from other texts of the same id; rows with a null id are as they were."""
+    cut = (passages.filter("removed").groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+           .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")))
+    docs = C.narrow(docs, "doc_id", "text").join(cut, (F.col("doc_id") == F.col("_id")) & (C.text_key() == F.col("_mark")), "left")
     kept = F.aggregate(
         "spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda acc, s: F.struct(F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))).alias("out"),
