@@ -110,17 +110,18 @@ def logloss(df: DataFrame, label: str = "target", score: str = "prediction", par
     return d.groupBy(*partition_by).agg(F.avg(term).alias("logloss"))
 
 
-def roc_points(df: DataFrame, label: str = "target", score: str = "prediction") -> DataFrame:
-    """One point per distinct score: true/false positive rates of ``score >= threshold``
+def roc_points(df: DataFrame, label: str = "target", score: str = "prediction", partition_by: list[str] = ()) -> DataFrame:
+    """One point per distinct score and partition: true/false positive rates of ``score >= threshold``
     (I20). Ties collapse before the ordered scan; the picture itself is not drawn."""
+    pk = list(partition_by)
     y = F.col(label).cast("long")
     d = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    g = d.groupBy(F.col(score).alias("threshold")).agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg"))
+    g = d.groupBy(*pk, F.col(score).alias("threshold")).agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg"))
     g = g.withColumn("_ord", -F.col("threshold"))
-    s = ordered_scan(g, [], ["_ord"], sums={"_tp": F.col("_pos"), "_fp": F.col("_neg")})
-    totals = d.agg(F.sum(y).alias("P"), F.sum(F.lit(1) - y).alias("N"))
-    j = _attach(s, totals, [])
-    return j.select("threshold", F.try_divide(F.col("_tp"), F.col("P")).alias("tpr"),
+    s = ordered_scan(g, pk, ["_ord"], sums={"_tp": F.col("_pos"), "_fp": F.col("_neg")})
+    totals = d.groupBy(*pk).agg(F.sum(y).alias("P"), F.sum(F.lit(1) - y).alias("N"))
+    j = _attach(s, totals, pk)
+    return j.select(*pk, "threshold", F.try_divide(F.col("_tp"), F.col("P")).alias("tpr"),
                     F.try_divide(F.col("_fp"), F.col("N")).alias("fpr"))
 
 

@@ -8,15 +8,17 @@ from scorewright.functions.hashing import unit_score
 from scorewright.functions.numeric import comparable
 from scorewright.operators.aggregate import SCORE_AGGS
 from scorewright.operators.ensemble import (BY_AGG_SELECTED, BY_AGG_WEIGHTS, EXTERNAL_BLEND, SEED_AVG_WEIGHTS,
-                                            best_candidate, evaluate_candidates, external_blend, pivot_models,
+                                            external_blend, pivot_models,
                                             rank_pivot, seed_average, simplex_grid, weighted_blend)
 from scorewright.operators.folds import group_folds, group_stratified_folds, stratified_folds
 from scorewright.operators.joins import spine_join, union_train_test
 from scorewright.operators.metrics import combined_metric, logloss, roc_points
 from scorewright.operators.rank import rank_normalize
+from scorewright.operators.weights import BINS, STARTS, FINEST, best_weights, lattice, narrow, offsets, refine_weights, search_level
 from scorewright.operators.stack import fold_average, score_diff, score_features
 from scorewright.plans import oracle as O
 from scorewright.plans.registry import ORACLES, register
+from scorewright.session import cut_lineage
 from scorewright.sources.fixtures import KEY, statements, test_spine, train_labels
 from scorewright.sources.predictions import (AGG_MODELS, MODELS, external_scores, fold_scores, prediction_long,
                                              statement_scores)
@@ -113,32 +115,31 @@ _FOLDS_SQL_CTE = ("k AS (SELECT customer_id, target, md5(concat_ws(':', '42', CA
 
 
 @register("metric_by_fold", W + ",\n" + _FOLDS_SQL_CTE + ",\n" + O.pred_long_cte("p0") + ",\n"
-          "p AS (SELECT p0.*, kf.fold FROM p0 JOIN kf USING (customer_id) WHERE p0.model = 'lgbm' AND p0.seed = 42),\n"
-          + O.metric_ctes("p", ["fold"], "target", "prediction", "customer_id", prefix="f") + ",\n"
-          + O.metric_ctes("p", [], "target", "prediction", "customer_id", prefix="o") +
-          "\nSELECT fold, CAST(gini AS FLOAT) AS gini, CAST(capture AS FLOAT) AS capture, "
-          "CAST(metric AS FLOAT) AS metric FROM f_r UNION ALL SELECT CAST(NULL AS INTEGER) AS fold, "
+          "p AS (SELECT p0.*, kf.fold FROM p0 JOIN kf USING (customer_id)),\n"
+          + O.metric_ctes("p", ["model", "seed", "fold"], "target", "prediction", "customer_id", prefix="f") + ",\n"
+          + O.metric_ctes("p", ["model", "seed"], "target", "prediction", "customer_id", prefix="o") +
+          "\nSELECT model, seed, fold, CAST(gini AS FLOAT) AS gini, CAST(capture AS FLOAT) AS capture, "
+          "CAST(metric AS FLOAT) AS metric FROM f_r UNION ALL SELECT model, seed, CAST(NULL AS INTEGER) AS fold, "
           "CAST(gini AS FLOAT), CAST(capture AS FLOAT), CAST(metric AS FLOAT) FROM o_r")
 def q_metric_by_fold(spark, sf_dir):
-    """Fold scores and the overall out-of-fold score (I12); the overall row has fold NULL."""
+    """Fold scores and the overall out-of-fold score of every run (I12); the overall row has fold NULL."""
     folds = stratified_folds(train_labels(spark, sf_dir)).select(KEY, "fold")
-    d = _oof(spark, sf_dir, seed=42, model="lgbm").join(folds, on=KEY, how="inner")
-    per_fold = combined_metric(d, partition_by=["fold"])
-    overall = combined_metric(d).withColumn("fold", F.lit(None).cast("int"))
+    d = cut_lineage(_oof(spark, sf_dir).join(folds, on=KEY, how="inner"))
+    per_fold = combined_metric(d, partition_by=["model", "seed", "fold"])
+    overall = combined_metric(d, partition_by=["model", "seed"]).withColumn("fold", F.lit(None).cast("int"))
     return comparable(per_fold.unionByName(overall))
 
 
-@register("roc_points", W + ",\n" + O.pred_long_cte("p0", ties=True) + ",\n"
-          "p AS (SELECT * FROM p0 WHERE model = 'lgbm' AND seed = 42),\n"
-          "g AS (SELECT prediction AS threshold, SUM(target) AS pos, SUM(1 - target) AS neg FROM p GROUP BY prediction),\n"
-          "c AS (SELECT threshold, SUM(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND "
-          "CURRENT ROW) AS tp, SUM(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND "
-          "CURRENT ROW) AS fp FROM g),\nt AS (SELECT SUM(target) AS P, SUM(1 - target) AS N FROM p)\n"
-          "SELECT CAST(threshold AS FLOAT) AS threshold, CAST(tp / P AS FLOAT) AS tpr, CAST(fp / N AS FLOAT) AS fpr "
-          "FROM c CROSS JOIN t")
+@register("roc_points", W + ",\n" + O.pred_long_cte("p", ties=True) + ",\n"
+          "g AS (SELECT model, seed, prediction AS threshold, SUM(target) AS pos, SUM(1 - target) AS neg FROM p GROUP BY ALL),\n"
+          "c AS (SELECT model, seed, threshold, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp FROM g WINDOW w AS (PARTITION BY "
+          "model, seed ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),\n"
+          "t AS (SELECT model, seed, SUM(target) AS P, SUM(1 - target) AS N FROM p GROUP BY ALL)\n"
+          "SELECT model, seed, CAST(threshold AS FLOAT) AS threshold, CAST(tp / P AS FLOAT) AS tpr, CAST(fp / N AS FLOAT) AS fpr "
+          "FROM c JOIN t USING (model, seed)")
 def q_roc_points(spark, sf_dir):
-    d = _oof(spark, sf_dir, ties=True, seed=42, model="lgbm")
-    return comparable(roc_points(d))
+    """Points of the ROC curve of every run."""
+    return comparable(roc_points(_oof(spark, sf_dir, ties=True), partition_by=["model", "seed"]))
 
 
 # --- step 5: folds ---------------------------------------------------------------------------------
@@ -155,10 +156,26 @@ def q_kfold_group_stratified(spark, sf_dir):
     return group_stratified_folds(s, train_labels(spark, sf_dir)).select(KEY, "seq", "fold")
 
 
-@register("kfold_group", W + ",\nn AS (SELECT customer_id, COUNT(*) AS n_rows FROM s0 WHERE NOT is_test "
-          "GROUP BY customer_id)\nSELECT customer_id, n_rows, CAST((row_number() OVER (ORDER BY n_rows DESC, "
-          "customer_id) - 1) % 5 AS INTEGER) AS fold FROM n")
+def _greedy_folds_sql(k: int = 5) -> str:
+    """Every customer in turn, largest first, to the lightest fold; a fold takes a run of the customers of one size."""
+    loads = [f"l{f}" for f in range(k)]
+    least = f"least({', '.join(loads)})"
+    pick = "CASE " + " ".join(f"WHEN l{f} = {least} THEN {f}" for f in range(k)) + " END"
+    return (W + """,
+n AS (SELECT customer_id, COUNT(*) AS n_rows FROM s0 WHERE NOT is_test GROUP BY customer_id),
+o AS MATERIALIZED (SELECT n_rows, row_number() OVER (ORDER BY n_rows DESC) AS i FROM n),
+deal AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS INTEGER) AS fold, CAST(NULL AS BIGINT) AS n_rows, """
+            + ", ".join(f"CAST(0 AS BIGINT) AS {x}" for x in loads) + f"""
+  UNION ALL SELECT o.i, {pick}, o.n_rows, """ + ", ".join(f"l{f} + CASE WHEN {pick} = {f} THEN o.n_rows ELSE 0 END" for f in range(k)) + """
+  FROM deal JOIN o ON o.i = deal.i + 1),
+runs AS (SELECT n_rows, fold, SUM(COUNT(*)) OVER (PARTITION BY n_rows ORDER BY fold) AS hi, COUNT(*) AS m FROM deal WHERE i > 0 GROUP BY n_rows, fold),
+r AS (SELECT customer_id, n_rows, row_number() OVER (PARTITION BY n_rows ORDER BY customer_id) AS pos FROM n)
+SELECT r.customer_id, r.n_rows, runs.fold FROM r JOIN runs ON r.n_rows = runs.n_rows AND r.pos > hi - m AND r.pos <= hi""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("kfold_group", _greedy_folds_sql())
 def q_kfold_group(spark, sf_dir):
+    """Group k-fold with balanced rows: customers dealt largest first to the lightest fold."""
     s = statements(spark, sf_dir).where(~F.col("is_test"))
     return group_folds(s).select(KEY, "n_rows", "fold")
 
@@ -224,11 +241,11 @@ _PIVOT = ", ".join(f"MAX(CASE WHEN model = '{m}' THEN prediction END) AS predict
 
 
 @register("pivot_predictions", W + ",\n" + O.pred_long_cte("p") +
-          f"\nSELECT customer_id, target, " + ", ".join(f"CAST(prediction_{m} AS FLOAT) AS prediction_{m}" for m in MODELS)
-          + f" FROM (SELECT customer_id, target, {_PIVOT} FROM p WHERE seed = 42 GROUP BY customer_id, target)")
+          f"\nSELECT customer_id, target, seed, " + ", ".join(f"CAST(prediction_{m} AS FLOAT) AS prediction_{m}" for m in MODELS)
+          + f" FROM (SELECT customer_id, target, seed, {_PIVOT} FROM p GROUP BY customer_id, target, seed)")
 def q_pivot_predictions(spark, sf_dir):
-    d = _oof(spark, sf_dir, seed=42)
-    return comparable(pivot_models(d, list(MODELS), keys=[KEY, "target"]))
+    """The models' predictions side by side, for every seed (C4)."""
+    return comparable(pivot_models(_oof(spark, sf_dir), list(MODELS), keys=[KEY, "target", "seed"]))
 
 
 def _seed_avg_ctes(src_cte: str, name: str = "sa") -> str:
@@ -280,6 +297,11 @@ def q_blend_external(spark, sf_dir):
 GRID_STEPS = 10
 
 
+def _best_row(spark, models, best):
+    """The best candidate as a table of one row."""
+    return comparable(spark.createDataFrame([(*best.weights, best.metric)], ", ".join(f"w_{m} double" for m in models) + ", metric double"))
+
+
 def _search_sql() -> str:
     cands = simplex_grid(len(MODELS), GRID_STEPS)
     vals = ", ".join(f"({i}, " + ", ".join(f"{w!r}::DOUBLE" for w in c) + ")" for i, c in enumerate(cands))
@@ -297,11 +319,93 @@ def _search_sql() -> str:
 @register("blend_weight_search", _search_sql())
 def q_blend_weight_search(spark, sf_dir):
     """Best blend weights on the simplex grid (step 1/10) by the combined metric on the
-    seed-averaged out-of-fold ranks (I14, I17): one job scores all 66 candidates."""
+    seed-averaged out-of-fold ranks (I14, I17): 66 candidates, of which only those whose bound may win are sorted."""
     sa = seed_average(_oof(spark, sf_dir).drop("target"))
     wide = pivot_models(sa, list(MODELS)).join(train_labels(spark, sf_dir), on=KEY, how="inner")
-    scored = evaluate_candidates(wide, list(MODELS), simplex_grid(len(MODELS), GRID_STEPS))
-    return comparable(best_candidate(scored, list(MODELS)))
+    return _best_row(spark, list(MODELS), best_weights(wide, list(MODELS), GRID_STEPS))
+
+
+def _blend_sql(n: str) -> str:
+    return " + ".join(f"(c.a{i} / {n}.0::DOUBLE) * o.prediction_{m}" for i, m in enumerate(MODELS))
+
+
+_OOF_RANKS = (W + ",\n" + O.pred_long_cte("p") + ",\n" + _seed_avg_ctes("p") + ",\n" + _SA_PIVOT + ",\n"
+              "o AS MATERIALIZED (SELECT sw.*, lab.target FROM sw JOIN lab USING (customer_id))")
+_POINT = [f"a{i}" for i in range(len(MODELS))]
+
+
+def _level_ctes(level: int, steps: int) -> str:
+    """Blends and exact metrics of the points of table ``c<level>``."""
+    point = ", ".join(_POINT)
+    return (f"b{level} AS (SELECT {point}, o.customer_id, o.target, {_blend_sql(str(steps))} AS s FROM o CROSS JOIN c{level} c),\n"
+            + O.metric_ctes(f"b{level}", _POINT, "target", "s", "customer_id", prefix=f"l{level}"))
+
+
+def _points_sql(points) -> str:
+    return ", ".join("(" + ", ".join(map(str, p)) + ")" for p in points)
+
+
+def _refined_sql() -> str:
+    """Every level of the refinement as a few tables: points, blends, exact metrics of all, the best few."""
+    point, steps, level = ", ".join(_POINT), GRID_STEPS, 0
+    out = [_OOF_RANKS, f"c0 AS (SELECT * FROM (VALUES {_points_sql(lattice(len(MODELS), steps))}) v({point}))", _level_ctes(0, steps)]
+    while 1 / steps >= FINEST:
+        steps, level = 2 * steps, level + 1
+        moved = ", ".join(f"2 * {a} + d{a} AS {a}" for a in _POINT)
+        out += [f"k{level} AS MATERIALIZED (SELECT * FROM l{level - 1}_r ORDER BY metric DESC, {point} LIMIT {STARTS})",
+                f"c{level} AS MATERIALIZED (SELECT DISTINCT {moved} FROM k{level} CROSS JOIN (VALUES {_points_sql(offsets(len(MODELS)))}) "
+                f"d({', '.join('d' + a for a in _POINT)}) WHERE " + " AND ".join(f"2 * {a} + d{a} >= 0" for a in _POINT) + ")", _level_ctes(level, steps)]
+    return (",\n".join(out) + "\nSELECT " + ", ".join(f"CAST({a} / {steps}.0::DOUBLE AS FLOAT) AS w_{m}" for a, m in zip(_POINT, MODELS))
+            + f", CAST(metric AS FLOAT) AS metric FROM l{level}_r ORDER BY metric DESC, {point} LIMIT 1")
+
+
+def _seed_averaged(spark, sf_dir):
+    sa = seed_average(_oof(spark, sf_dir).drop("target"))
+    return pivot_models(sa, list(MODELS)).join(train_labels(spark, sf_dir), on=KEY, how="inner")
+
+
+@register("blend_weight_refined", _refined_sql())
+def q_blend_weight_refined(spark, sf_dir):
+    """Best blend weights down to a step under 1/1000 (I14, J4): the whole lattice at 1/10, then level by level the points
+    around the best eight, every level bounded in one pass before anything is sorted."""
+    return _best_row(spark, list(MODELS), refine_weights(_seed_averaged(spark, sf_dir), list(MODELS))[-1][0])
+
+
+def _bounds_sql() -> str:
+    n, cut = str(GRID_STEPS), "(big_p + 20 * big_n) // 25"
+    total = "(big_p + 20 * big_n)"
+    part = f"(({total} * {total} + big_p + 400 * big_n) / 2)"
+    gmax = f"((big_p * (big_p + 1) / 2 + 20 * big_n * big_p) / big_p - {part} / {total})"
+
+    def metric(s1, held):
+        return f"0.5::DOUBLE * (({s1} / big_p - {part} / {total}) / {gmax} + {held} / big_p)"
+
+    own = "p * cp + p * (p + 1) / 2"
+    point = ", ".join(_POINT)
+    return (f"""{_OOF_RANKS},
+c0 AS (SELECT * FROM (VALUES {_points_sql(lattice(len(MODELS), GRID_STEPS))}) v({point})),
+{_level_ctes(0, GRID_STEPS)},
+h AS (SELECT {point}, CAST(least(greatest(floor(s * {BINS}), 0), {BINS - 1}) AS INTEGER) AS bin, CAST(SUM(target) AS BIGINT) AS p,
+  CAST(SUM(1 - target) AS BIGINT) AS n FROM b0 GROUP BY ALL),
+hw AS (SELECT *, CAST(SUM(p) OVER w AS BIGINT) AS big_p, CAST(SUM(n) OVER w AS BIGINT) AS big_n,
+  CAST(coalesce(SUM(p) OVER before, 0) AS BIGINT) AS cp, CAST(coalesce(SUM(p + 20 * n) OVER before, 0) AS BIGINT) AS cw
+  FROM h WINDOW w AS (PARTITION BY {point}), before AS (PARTITION BY {point} ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+hs AS (SELECT {point}, big_p, big_n, CAST(SUM({own} + 20 * n * cp) AS BIGINT) AS low, CAST(SUM({own} + 20 * n * (cp + p)) AS BIGINT) AS high,
+  CAST(SUM(least(greatest({cut} - cw - 20 * n, 0), p)) AS BIGINT) AS held_low, CAST(SUM(least(greatest({cut} - cw, 0), p)) AS BIGINT) AS held_high
+  FROM hw GROUP BY ALL),
+hb AS (SELECT {point}, {metric("low", "held_low")} AS lower, {metric("high", "held_high")} AS upper FROM hs),
+j AS (SELECT hb.*, l0_r.metric, upper < (SELECT max(lower) FROM hb) AS pruned FROM hb JOIN l0_r USING ({point}))
+SELECT """ + ", ".join(f"CAST({a} / {n}.0::DOUBLE AS FLOAT) AS w_{m}" for a, m in zip(_POINT, MODELS)) + """, CAST(lower AS FLOAT) AS lower,
+  CAST(upper AS FLOAT) AS upper, pruned, CASE WHEN NOT pruned THEN CAST(metric AS FLOAT) END AS metric FROM j""")
+
+
+@register("blend_search_bounds", _bounds_sql())
+def q_blend_search_bounds(spark, sf_dir):
+    """Bounds of every candidate of the 1/10 lattice, and the metric of those that the bounds leave."""
+    models = list(MODELS)
+    level = search_level(narrow(_seed_averaged(spark, sf_dir), models), models, lattice(len(models), GRID_STEPS))
+    return comparable(spark.createDataFrame([(*r.weights, r.lower, r.upper, r.metric is None, r.metric) for r in level],
+                                            ", ".join(f"w_{m} double" for m in models) + ", lower double, upper double, pruned boolean, metric double"))
 
 
 # --- by aggregate type (13 predictions, 4 enter the blend) ---------------------------------------
@@ -363,7 +467,6 @@ def _by_agg_search_sql() -> str:
 @register("blend_by_agg_search", _by_agg_search_sql())
 def q_blend_by_agg_search(spark, sf_dir):
     """Weight search over the four selected predictions of the 13 (I14, I17): 286 simplex
-    candidates at step 1/10, scored in one job."""
+    candidates at step 1/10, bounded in one pass; only those that may win are sorted."""
     wide = _by_agg_wide(spark, sf_dir)
-    scored = evaluate_candidates(wide, BY_AGG_SELECTED, simplex_grid(len(BY_AGG_SELECTED), BY_AGG_STEPS))
-    return comparable(best_candidate(scored, BY_AGG_SELECTED))
+    return _best_row(spark, BY_AGG_SELECTED, best_weights(wide, BY_AGG_SELECTED, BY_AGG_STEPS))
