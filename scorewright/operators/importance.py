@@ -29,6 +29,8 @@ def correlation_importance(df: DataFrame, features: list[str], label: str = "tar
     pk = list(partition_by)
     d = df.select(*pk, F.col(label).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in features])
     long = d.unpivot([*pk, "_y"], list(features), "feature", "value")
-    c = long.groupBy(*pk, "feature").agg(F.corr("value", "_y").alias("_r"))
+    # from its parts: a constant feature divides by zero, which is an error in ``corr`` itself
+    label_here = F.when(F.col("value").isNotNull(), F.col("_y"))
+    c = long.groupBy(*pk, "feature").agg(F.try_divide(F.covar_pop("value", "_y"), F.stddev_pop("value") * F.stddev_pop(label_here)).alias("_r"))
     r = F.coalesce(F.nanvl(F.col("_r"), F.lit(0.0)), F.lit(0.0))
     return c.select(*pk, "feature", F.log1p(F.lit(1000.0) * F.abs(r)).alias("importance"))

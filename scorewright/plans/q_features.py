@@ -9,7 +9,7 @@ from scorewright.operators.aggregate import CATEGORICAL_AGGS, NUMERIC_AGGS, DIFF
 from scorewright.operators.dates import add_date_features
 from scorewright.operators.history import order_history
 from scorewright.operators.joins import label_join, spine_join, union_train_test
-from scorewright.operators.narrow import narrowing_report
+from scorewright.operators.narrow import narrow_types, narrowing_report
 from scorewright.plans import oracle as O
 from scorewright.plans.features import CAT_COLS, NUM_COLS, customer_features, statement_features
 from scorewright.plans.registry import register
@@ -226,6 +226,13 @@ def q_narrow_types(spark, sf_dir):
     return narrowing_report(s.select(*_NARROW_COLS))
 
 
+@register("narrow_table", O.with_statements("SELECT " + ", ".join(
+    c if c in _NARROW_INT else f"CAST({c} AS FLOAT) AS {c}" for c in _NARROW_COLS) + " FROM s1", te=False))
+def q_narrow_table(spark, sf_dir):
+    """The statements with every column in its narrowest type."""
+    return narrow_types(order_history(statements(spark, sf_dir)).select(*_NARROW_COLS))
+
+
 _STORE_COLS = ["o_totalprice_mean", "o_totalprice_last", "days_diff_max", "priority_code_nunique"]
 
 
