@@ -12,22 +12,22 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 
 from pyspark.sql import SparkSession, functions as F
 
-from scorewright.operators.ensemble import (best_candidate, evaluate_candidates, external_blend, pivot_models,
-                                            seed_average, simplex_grid, weighted_blend)
+from scorewright.operators.ensemble import external_blend, pivot_models, seed_average, weighted_blend
 from scorewright.operators.folds import group_folds, stratified_folds
 from scorewright.operators.importance import importance_totals
 from scorewright.operators.metrics import combined_metric, logloss
-from scorewright.operators.models import FAMILIES, Learner, best_trial, random_search, train_oof
+from scorewright.operators.models import FAMILIES, SEARCH_SPACE, Learner, train_oof
+from scorewright.operators.search import RUNGS, Rung, best_of, halving_search, learner_of
 from scorewright.operators.stack import score_features, stack_onto
+from scorewright.operators.weights import refine_weights
 from scorewright.plans.features import customer_features, statement_features
 from scorewright.plans.training import EXCLUDED, STATEMENT_FEATURES, small_budget, statement_model
 from scorewright.session import cut_lineage
-from scorewright.sources.feature_store import (read_predictions, write_features, write_manifest,
-                                               write_predictions)
+from scorewright.sources.feature_store import (read_manifest, read_predictions, write_features, write_manifest,
+                                               write_predictions, write_text)
 from scorewright.sources.fixtures import KEY, train_labels
 from scorewright.sources.predictions import SEEDS
 
@@ -36,17 +36,19 @@ def _families(budget: int | None) -> dict[str, Learner]:
     return {k: (small_budget(v, budget) if budget else v) for k, v in FAMILIES.items()}
 
 
+def _rungs(budget: int | None) -> tuple[Rung, ...]:
+    """The search's rungs; a smaller budget caps the boosting rounds of each."""
+    return tuple(Rung(min(r.rounds, budget), r.folds, r.keep) for r in RUNGS) if budget else RUNGS
+
+
 def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget: int | None = None,
         grid_steps: int = 10, external_csv: str | None = None, parallelism: int = 2,
         exclude=EXCLUDED, search_trials: int = 0) -> dict:
     """Run every step; returns a summary with output paths and out-of-fold scores.
     ``search_trials > 0`` first searches the statement model's parameters with group folds
-    and writes the best ones into the statement-feature manifest (the reference's search
-    step)."""
+    (a restarted run goes on from its ledger) and writes the best ones into the statement-feature
+    manifest, from which the statement model is then trained."""
     out = out_dir.rstrip("/")
-    local_out = not out.startswith(("hdfs:", "s3", "gs:", "abfs", "dbfs:"))
-    if local_out:
-        os.makedirs(out, exist_ok=True)
     summary: dict = {"out_dir": out}
 
     # 1. statement-level features (feature store + manifest)
@@ -56,17 +58,21 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget:
     if search_trials > 0:
         tr = s.where(~F.col("is_test"))
         tr = tr.join(group_folds(tr).select(KEY, "fold"), KEY, "inner")
-        hist = random_search(tr, STATEMENT_FEATURES, n_trials=search_trials, max_iter=budget or 100,
-                             parallelism=parallelism, layout_cols=[KEY, "seq"])
+        hist = halving_search(tr, STATEMENT_FEATURES, f"{out}/output/search_ledger", n_trials=search_trials, rungs=_rungs(budget),
+                              parallelism=parallelism, layout_cols=[KEY, "seq"])
         hist.coalesce(1).write.mode("overwrite").csv(f"{out}/output/search_trials", header=True)
-        params = {k: v for k, v in best_trial(hist).first().asDict().items() if k not in ("trial", "value")}
+        params = {k: v for k, v in best_of(hist).first().asDict().items() if k in SEARCH_SPACE}
         summary["search_best"] = params
-    if local_out:
-        write_manifest(names, f"{out}/statement_features.json", params=params)
+    write_manifest(names, f"{out}/statement_features.json", params, spark)
 
-    # 2. statement model: OOF for training statements, fold-averaged for test ones
+    # 2. statement model: OOF for training statements, fold-averaged for test ones; the manifest says which
+    # columns are features and, after a search, what the learner's parameters are
+    manifest = read_manifest(f"{out}/statement_features.json", spark)
     sl = _families(budget)["gbdt"]
-    scores, imp = statement_model(spark, sf_dir, sl, parallelism, statements_df=s)
+    if "params" in manifest:
+        sl = learner_of(manifest["params"], sl)
+    used = [c for c in STATEMENT_FEATURES if c in manifest["features"]]
+    scores, imp = statement_model(spark, sf_dir, sl, parallelism, statements_df=s, features=used)
     importance_totals(imp).coalesce(1).write.mode("overwrite").csv(f"{out}/imp/statement_model", header=True)
     train_scores = scores.where(~F.col("is_test")).join(s.select(KEY, "seq", "target"), [KEY, "seq"])
     summary["statement_logloss"] = logloss(train_scores, "target", "pred_no_agg").first()["logloss"]
@@ -99,10 +105,10 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget:
     sub_sa = pivot_models(seed_average(long_sub), models)
     for m in models:
         summary[f"oof_metric_{m}"] = combined_metric(oof_sa, "target", f"prediction_{m}").first()["metric"]
-    best = best_candidate(evaluate_candidates(oof_sa, models, simplex_grid(len(models), grid_steps)), models).first()
-    weights = {m: float(best[f"w_{m}"]) for m in models}
+    best = refine_weights(oof_sa, models, first_steps=grid_steps)[-1][0]
+    weights = dict(zip(models, best.weights))
     summary["weights"] = weights
-    summary["oof_metric_blend"] = float(best["metric"])
+    summary["oof_metric_blend"] = float(best.metric)
     blend_oof = weighted_blend(oof_sa, weights).select(KEY, "target", "prediction")
     blend_sub = weighted_blend(sub_sa, weights).select(KEY, "prediction")
     write_predictions(blend_oof, f"{out}/output/oof_ensemble")
@@ -112,9 +118,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, *, seeds=SEEDS, budget:
     if external_csv:
         ext = read_predictions(spark, external_csv)
         write_predictions(external_blend(blend_sub, ext), f"{out}/output/submission_external_blend")
-    if local_out:
-        with open(f"{out}/summary.json", "w") as fh:
-            json.dump(summary, fh, indent=2, default=float)
+    write_text(spark, f"{out}/summary.json", json.dumps(summary, indent=2, default=float))
     return summary
 
 
