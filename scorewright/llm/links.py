@@ -21,6 +21,8 @@ from scorewright.llm.components import components
 #: Most classes and bytes of sorted arrays in one block of a large group.
 BLOCK = 1024
 BLOCK_BYTES = 24 << 20
+#: Groups (the first ones in order) that a member carries, to tell that a pair has met in an earlier group.
+LEAST = 16
 #: Rounds of checking forests by fine bitmaps, and refuted pairs that may be broadcast to the next one.
 ROUNDS, REFUTED = 3, 200_000
 #: Bits of the smallest fine bitmap.
@@ -143,13 +145,28 @@ class _Block:
         self.node, self.first, self.n = node, first, rows.column("n").to_numpy()[first]
         self.component = np.unique(rows.column("component").to_numpy()[first], return_inverse=True)[1]
         self.sketch = np.stack([rows.column(c).to_numpy()[first] for c in sketch], 1).view(np.uint64)
+        self.shared = self._earlier(rows, first, key[0].as_py())
         block = rows.column("block").to_numpy()[first]
         self.left, self.right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
 
+    @staticmethod
+    def _earlier(rows, first: np.ndarray, sig: int) -> np.ndarray:
+        """One bit a member for each group before this one that its ``least`` list names."""
+        lists = rows.column("least").combine_chunks().take(pa.array(first))
+        owner = np.repeat(np.arange(len(first)), lists.value_lengths().to_numpy())
+        groups = lists.flatten().to_numpy()
+        owner, groups = owner[groups < sig], groups[groups < sig]
+        names, at = np.unique(groups, return_inverse=True)
+        bits = np.zeros((len(first), len(names) // 64 + 1), np.uint64)
+        np.bitwise_or.at(bits, (owner, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+        return bits
+
     def partners(self, a: int, near: Callable) -> np.ndarray:
-        """Members of the other block (or later ones of the same) in another component that the sketch lets pass."""
+        """Members of the other block (or later ones of the same) in another component that the sketch lets pass, without
+        pairs that an earlier group has, too."""
         r = self.right[self.right > a] if self.same else self.right
         r = r[self.component[r] != self.component[a]]
+        r = r[~(self.shared[r] & self.shared[a]).any(1)]
         n = self.n[r]
         r = r[100 * np.minimum(n, self.n[a]) >= self.percent * np.maximum(n, self.n[a])]
         return r[near(self.sketch, self.n, a, r)] if len(r) else r
@@ -166,7 +183,9 @@ def _flag(sketch: list[str], near: Callable, percent: int):
             if len(r):
                 open_[a] = True
                 open_[r] = True
-        return rows.take(pa.array(b.first[open_]))
+        kept = rows.take(pa.array(b.first[open_]))
+        at, kind = kept.column_names.index("least"), pa.list_(pa.int64())
+        return kept.set_column(at, pa.field("least", kind), kept.column(at).cast(kind))
 
     return run
 
@@ -268,7 +287,8 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
     others may link with member ``a``; it must let every link pass. Groups that are one component by now are done.
 
     The others are cut into blocks; for each pair of blocks one task compares sketches and returns the members that are
-    still open. These get fine bitmaps, by which a task returns a forest of pairs that join its members if they are
+    still open. Two members often meet in many groups: each carries its first ``LEAST`` groups, and a pair that has one of
+    these in common is left to the first of them. These get fine bitmaps, by which a task returns a forest of pairs that join its members if they are
     links; the forest's pairs are checked on the sorted arrays. If all are links, nothing that they hid is missing. Else
     the next round leaves the refuted pairs out; after ``ROUNDS`` of them, or with too many refuted pairs to broadcast, the
     blocks are decided on the sorted arrays themselves."""
@@ -280,12 +300,13 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
     tile = C.materialize(tile.select("sig", "m", blocks.alias("nb")))
     if not tile.limit(1).count():
         return None
-    types = "sig long, i int, j int, node long, n long, component long, block int, " + ", ".join(f"{c} long" for c in sketch)
-    rows = (C.join_by_key(member, tile, "sig", "m", groups.count()).filter("nb is not null")
-            .join(classes.select("node", *sketch), "node")
+    types = ("sig long, i int, j int, node long, n long, component long, block int, least array<long>, " + ", ".join(f"{c} long" for c in sketch))
+    held = C.materialize(C.join_by_key(member, tile, "sig", "m", groups.count()).filter("nb is not null").select("sig", "node", "n", "component", "nb"))
+    least = held.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST).alias("least"))
+    rows = (held.join(least, "node").join(classes.select("node", *sketch), "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "component", "block", *sketch))
+            .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "component", "block", "least", *sketch))
     left = C.materialize(rows.groupBy("sig", "i", "j").applyInArrow(_flag(sketch, near, percent), types))
     if not left.limit(1).count():
         return None

@@ -83,7 +83,7 @@ def test_a_block_returns_fewer_pairs_than_members():
     sets = links.gram_sets(texts, 3)
     n = len(sets)
     table = pa.table({"sig": [1] * n, "i": pa.array([0] * n, pa.int32()), "j": pa.array([0] * n, pa.int32()), "node": list(range(n)),
-                      "n": [len(s) for s in sets], "component": list(range(n)), "block": pa.array([0] * n, pa.int32()), "s0": [0] * n,
+                      "n": [len(s) for s in sets], "component": list(range(n)), "block": pa.array([0] * n, pa.int32()), "s0": [0] * n, "least": pa.array([[1]] * n, pa.list_(pa.int64())),
                       "grams": pa.array([links.fine_bitmap(s) for s in sets], pa.binary())})
     arrays = table.set_column(table.column_names.index("grams"), "grams", pa.array([s.tobytes() for s in sets], pa.binary()))
     everything = lambda sketch, size, a, r: np.ones(len(r), bool)
@@ -95,6 +95,10 @@ def test_a_block_returns_fewer_pairs_than_members():
     forest = links._forest(["s0"], everything, 85, No)(key, table)
     exact = links._exact(["s0"], everything, 85)(key, arrays)
     assert 0 < exact.num_rows <= forest.num_rows < n
+    # pairs that met in an earlier group are left to it
+    met = table.set_column(table.column_names.index("least"), "least", pa.array([[0, 1]] * 50 + [[1]] * (n - 50), pa.list_(pa.int64())))
+    flagged = links._flag(["s0"], everything, 85)(key, met)
+    assert flagged.num_rows == n and links._flag(["s0"], everything, 85)(key, met.slice(0, 50)).num_rows == 0
 
 
 # --- lexical search ------------------------------------------------------------------------------
