@@ -23,8 +23,8 @@ from scorewright.session import cut_lineage
 BINS = 4096
 #: Candidates that one pass over the rows counts.
 BATCH = 64
-#: Step of the first lattice, best points around which the next level looks, and the step at which the search ends.
-FIRST_STEPS, STARTS, FINEST = 10, 8, 1e-3
+#: Step of the first lattice, best points around which the next level looks, how far (in steps), and the step at which the search ends.
+FIRST_STEPS, STARTS, RADIUS, FINEST = 10, 8, 2, 1e-3
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,7 @@ def narrow(wide: DataFrame, models: list[str], label: str = "target", key: str =
 
 
 def refine_weights(wide: DataFrame, models: list[str], label: str = "target", key: str = KEY, prefix: str = "prediction_",
-                   first_steps: int = FIRST_STEPS, starts: int = STARTS, finest: float = FINEST, radius: int = 1) -> list[list[Scored]]:
+                   first_steps: int = FIRST_STEPS, starts: int = STARTS, finest: float = FINEST, radius: int = RADIUS) -> list[list[Scored]]:
     """The levels of the search, coarse to fine; the best point of each is its first entry and is never worse than the
     one before."""
     wide = narrow(wide, models, label, key, prefix)

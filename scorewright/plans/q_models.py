@@ -14,7 +14,7 @@ from scorewright.operators.folds import group_folds, group_stratified_folds, str
 from scorewright.operators.joins import spine_join, union_train_test
 from scorewright.operators.metrics import combined_metric, logloss, roc_points
 from scorewright.operators.rank import rank_normalize
-from scorewright.operators.weights import BINS, STARTS, FINEST, best_weights, lattice, narrow, offsets, refine_weights, search_level
+from scorewright.operators.weights import BINS, FINEST, RADIUS, STARTS, best_weights, lattice, narrow, offsets, refine_weights, search_level
 from scorewright.operators.stack import fold_average, score_diff, score_features
 from scorewright.plans import oracle as O
 from scorewright.plans.registry import ORACLES, register
@@ -353,7 +353,7 @@ def _refined_sql() -> str:
         steps, level = 2 * steps, level + 1
         moved = ", ".join(f"2 * {a} + d{a} AS {a}" for a in _POINT)
         out += [f"k{level} AS MATERIALIZED (SELECT * FROM l{level - 1}_r ORDER BY metric DESC, {point} LIMIT {STARTS})",
-                f"c{level} AS MATERIALIZED (SELECT DISTINCT {moved} FROM k{level} CROSS JOIN (VALUES {_points_sql(offsets(len(MODELS)))}) "
+                f"c{level} AS MATERIALIZED (SELECT DISTINCT {moved} FROM k{level} CROSS JOIN (VALUES {_points_sql(offsets(len(MODELS), RADIUS))}) "
                 f"d({', '.join('d' + a for a in _POINT)}) WHERE " + " AND ".join(f"2 * {a} + d{a} >= 0" for a in _POINT) + ")", _level_ctes(level, steps)]
     return (",\n".join(out) + "\nSELECT " + ", ".join(f"CAST({a} / {steps}.0::DOUBLE AS FLOAT) AS w_{m}" for a, m in zip(_POINT, MODELS))
             + f", CAST(metric AS FLOAT) AS metric FROM l{level}_r ORDER BY metric DESC, {point} LIMIT 1")
