@@ -21,6 +21,8 @@ from scorewright.llm.components import components
 #: Most classes and bytes of sorted arrays in one block of a large group.
 BLOCK = 1024
 BLOCK_BYTES = 24 << 20
+#: Bytes of a block from which its task gives memory back at its end.
+LARGE_BLOCK = 2 << 20
 #: Groups (the first ones in order) that a member carries, to tell that a pair has met in an earlier group.
 LEAST = 16
 #: Rounds of checking forests by fine bitmaps, and refuted pairs that may be broadcast to the next one.
@@ -98,6 +100,8 @@ def _check(percent: int, fine: bool):
             both = [(t - fine_differ(a, b)) // 2 if fine else _overlap(a, b) for t, a, b in zip(total, x, y, strict=True)]
             keep = pa.array([100 * o >= percent * (t - o) for t, o in zip(total, both, strict=True)], pa.bool_())
             yield pa.record_batch([batch.column(i).filter(keep) for i in range(4)], schema=schema)
+            del x, y
+        C.release()
 
     return run
 
@@ -172,6 +176,12 @@ class _Block:
         return r[near(self.sketch, self.n, a, r)] if len(r) else r
 
 
+def _tidy(rows) -> None:
+    """Give memory back after a large block; small ones are not worth the call."""
+    if rows.nbytes > LARGE_BLOCK:
+        C.release()
+
+
 def _flag(sketch: list[str], near: Callable, percent: int):
     """Members of a block pair that have a partner by the sketch: at most one row a member."""
 
@@ -184,6 +194,7 @@ def _flag(sketch: list[str], near: Callable, percent: int):
                 open_[a] = True
                 open_[r] = True
         kept = rows.take(pa.array(b.first[open_]))
+        _tidy(rows)
         at, kind = kept.column_names.index("least"), pa.list_(pa.int64())
         return kept.set_column(at, pa.field("least", kind), kept.column(at).cast(kind))
 
@@ -236,6 +247,8 @@ def _forest(sketch: list[str], near: Callable, percent: int, refuted):
                     u.append(pair[0])
                     v.append(pair[1])
                     b.component[b.component == b.component[x]] = b.component[a]
+        del fine, blobs
+        _tidy(rows)
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
 
     return run
@@ -273,6 +286,8 @@ def _exact(sketch: list[str], near: Callable, percent: int):
                         v.append(max(b.node[a], b.node[x]))
                         b.component[b.component == b.component[x]] = b.component[a]
             inside[mine] = False
+        del vocabulary, ids, inside, arrays, blobs
+        _tidy(rows)
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
 
     return run

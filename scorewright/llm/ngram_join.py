@@ -212,6 +212,8 @@ def _tiles(buckets: int):
             else:
                 sigs.append(int(sig[at:at + 1].view(np.int64)[0]))
                 nodes.append(node[at:at + m].tolist())
+        del blob
+        C.release()
         return pa.table([pa.array([None] * len(small) + sigs, pa.int64()), pa.array([*small, *nodes], pa.list_(pa.int64()))], schema=schema)
 
     return run
