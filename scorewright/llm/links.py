@@ -182,6 +182,14 @@ def _tidy(rows) -> None:
         C.release()
 
 
+def _kept(rows, b: _Block, members: np.ndarray):
+    """One row of each of these members."""
+    kept = rows.take(pa.array(b.first[members]))
+    _tidy(rows)
+    at, kind = kept.column_names.index("least"), pa.list_(pa.int64())
+    return kept.set_column(at, pa.field("least", kind), kept.column(at).cast(kind))
+
+
 def _flag(sketch: list[str], near: Callable, percent: int):
     """Members of a block pair that have a partner by the sketch: at most one row a member."""
 
@@ -193,10 +201,7 @@ def _flag(sketch: list[str], near: Callable, percent: int):
             if len(r):
                 open_[a] = True
                 open_[r] = True
-        kept = rows.take(pa.array(b.first[open_]))
-        _tidy(rows)
-        at, kind = kept.column_names.index("least"), pa.list_(pa.int64())
-        return kept.set_column(at, pa.field("least", kind), kept.column(at).cast(kind))
+        return _kept(rows, b, open_)
 
     return run
 
@@ -225,35 +230,58 @@ class _Fine:
         return out
 
 
+def _fine_partners(b: _Block, rows, near: Callable, percent: int, refuted: set):
+    """Of each left member the partners that the fine bitmaps let pass, without refuted pairs. Components that the caller
+    joins meanwhile count at once."""
+    blobs = rows.column("grams").combine_chunks()
+    fine = _Fine([blobs[int(i)].as_py() for i in b.first])
+    for a in b.left:
+        r = b.partners(a, near)
+        if not len(r):
+            continue
+        total = b.n[r] + b.n[a]
+        most = (total - fine.differ(a, r)) // 2
+        r = r[100 * most >= percent * (total - most)]
+        if refuted and len(r):
+            low, high = np.minimum(b.node[r], b.node[a]).tolist(), np.maximum(b.node[r], b.node[a]).tolist()
+            r = r[[pair not in refuted for pair in zip(low, high, strict=True)]]
+        if len(r):
+            yield a, r
+
+
 def _forest(sketch: list[str], near: Callable, percent: int, refuted):
     """Pairs that the fine bitmaps let pass and that join the components of a block pair's members: fewer than the members.
     A pair whose ends were joined by others is not returned; ``refuted`` pairs join nothing."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(key, rows):
-        b, no = _Block(key, rows, sketch, percent), refuted.value
-        blobs = rows.column("grams").combine_chunks()
-        fine = _Fine([blobs[int(i)].as_py() for i in b.first])
-        u, v = [], []
-        for a in b.left:
-            r = b.partners(a, near)
-            if not len(r):
-                continue
-            total = b.n[r] + b.n[a]
-            most = (total - fine.differ(a, r)) // 2
-            for x in r[100 * most >= percent * (total - most)]:
-                pair = (int(min(b.node[a], b.node[x])), int(max(b.node[a], b.node[x])))
-                if b.component[x] != b.component[a] and pair not in no:
-                    u.append(pair[0])
-                    v.append(pair[1])
+        b, u, v = _Block(key, rows, sketch, percent), [], []
+        for a, r in _fine_partners(b, rows, near, percent, refuted.value):
+            for x in r:
+                if b.component[x] != b.component[a]:
+                    u.append(int(min(b.node[a], b.node[x])))
+                    v.append(int(max(b.node[a], b.node[x])))
                     b.component[b.component == b.component[x]] = b.component[a]
-        del fine, blobs
         _tidy(rows)
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
 
     return run
 
 
+def _undecided(sketch: list[str], near: Callable, percent: int, refuted, columns: list[str]):
+    """Members of a block pair with a partner in another component that the fine bitmaps let pass and no check refuted."""
+
+    def run(key, rows):
+        b = _Block(key, rows, sketch, percent)
+        open_ = np.zeros(len(b.node), bool)
+        for a, r in _fine_partners(b, rows, near, percent, refuted.value):
+            open_[a] = True
+            open_[r] = True
+        return _kept(rows.select(columns), b, open_)
+
+    return run
+
+
 def _exact(sketch: list[str], near: Callable, percent: int):
     """Links that join the components of a block pair's members, found on the sorted arrays: fewer than the members."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -306,7 +334,7 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
     these in common is left to the first of them. These get fine bitmaps, by which a task returns a forest of pairs that join its members if they are
     links; the forest's pairs are checked on the sorted arrays. If all are links, nothing that they hid is missing. Else
     the next round leaves the refuted pairs out; after ``ROUNDS`` of them, or with too many refuted pairs to broadcast, the
-    blocks are decided on the sorted arrays themselves."""
+    members that still have an undecided partner by then are decided on their sorted arrays, block pair by block pair."""
     member = groups.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")).join(classes.select("node", "n"), "node")
     tile = (member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("grams"),
                                       F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
@@ -353,6 +381,10 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
         if wrong.count() + len(refuted) > REFUTED:
             break
         refuted |= {(r.u, r.v) for r in wrong.collect()}
+    no = docs.sparkSession.sparkContext.broadcast(refuted)
+    left = C.materialize(left.join(bitmaps, "node").groupBy("sig", "i", "j").applyInArrow(_undecided(sketch, near, percent, no, left.columns), types))
+    if not left.limit(1).count():
+        return links
     arrays = made(left.select("node"), False)
     more = C.materialize(left.join(arrays, "node").groupBy("sig", "i", "j").applyInArrow(_exact(sketch, near, percent), "u long, v long").distinct())
     return more if links is None else links.unionByName(more)
