@@ -124,7 +124,8 @@ _FOLDS_SQL_CTE = ("k AS (SELECT customer_id, target, md5(concat_ws(':', '42', CA
 def q_metric_by_fold(spark, sf_dir):
     """Fold scores and the overall out-of-fold score of every run (I12); the overall row has fold NULL."""
     folds = stratified_folds(train_labels(spark, sf_dir)).select(KEY, "fold")
-    d = cut_lineage(_oof(spark, sf_dir).join(folds, on=KEY, how="inner"))
+    # the long table looks as small as the customer file it is exploded from: never built into a broadcast
+    d = cut_lineage(_oof(spark, sf_dir).hint("shuffle_merge").join(folds, on=KEY, how="inner"))
     per_fold = combined_metric(d, partition_by=["model", "seed", "fold"])
     overall = combined_metric(d, partition_by=["model", "seed"]).withColumn("fold", F.lit(None).cast("int"))
     return comparable(per_fold.unionByName(overall))
