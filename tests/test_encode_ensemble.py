@@ -72,3 +72,15 @@ def test_pivot_models(spark):
     d = _long(spark).where("seed = 1")
     w = pivot_models(d, ["a", "b"])
     assert w.columns == ["customer_id", "prediction_a", "prediction_b"] and w.count() == 50
+
+
+def test_pivot_aggregates_after_the_shuffle_only(spark):
+    """A key's rows are dealt to one task before they are aggregated: no partial aggregate holds all keys of an input split."""
+    from pyspark.sql import functions as F
+    from scorewright.operators.ensemble import pivot_models
+    rows = [(c, m, (c or 0) + len(m) / 10) for c in [*range(20), None] for m in ("a", "bb") if c != 3 or m == "a"] + [(90, "other", 1.0), (1, "a", None), (2, "bb", 9.0)]
+    wide = pivot_models(spark.createDataFrame(rows, "customer_id long, model string, prediction double"), ["a", "bb"])
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[plan.index("Exchange"):]
+    got = {r["customer_id"]: (r["prediction_a"], r["prediction_bb"]) for r in wide.collect()}
+    assert len(got) == 22 and got[2] == (2.1, 9.0) and got[3] == (3.1, None) and got[90] == (None, None) and got[1] == (1.1, 1.2)
