@@ -58,3 +58,19 @@ def test_same_seed_same_scores(spark):
     b, _, _ = train_oof(df.repartition(3), None, ["signal", "noise", "sparse"], learner, id_cols=["customer_id"],
                         seed=7, importance=False)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_training_matrix_has_a_short_lineage_and_leaves_no_files(spark):
+    """Every task of a boosting round is sent the matrix's lineage; the checkpoint's files go with the matrix."""
+    import glob
+    from scorewright.session import ensure_checkpoint_dir, hold, let_go
+    df = _planted(spark).repartition(3, "customer_id").sortWithinPartitions("customer_id")
+    before = df.collect()
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    files = set(glob.glob(f"{folder}/**/part-*", recursive=True))
+    held = hold(df)
+    assert held.collect() == before and held.rdd.getNumPartitions() == 3
+    assert "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
+    assert set(glob.glob(f"{folder}/**/part-*", recursive=True)) > files
+    let_go(held)
+    assert set(glob.glob(f"{folder}/**/part-*", recursive=True)) == files
