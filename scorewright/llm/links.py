@@ -27,6 +27,8 @@ LARGE_BLOCK = 2 << 20
 LEAST = 16
 #: Rounds of checking forests by fine bitmaps, and refuted pairs that may be broadcast to the next one.
 ROUNDS, REFUTED = 3, 200_000
+#: Bytes of sorted arrays, over all rows of members, up to which the undecided members of large groups need no forests.
+EXACT_BYTES = 32 << 20
 #: Bits of the smallest fine bitmap.
 FINE_BITS = 512
 
@@ -112,10 +114,12 @@ def compare(docs: DataFrame, pairs: DataFrame, k: int, percent: int, fine: bool)
     few = wanted.limit(C.BROADCAST_IDS + 1).count() <= C.BROADCAST_IDS
     grams = C.materialize(docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
                           .mapInArrow(_grams(k, fine), "node long, n long, grams binary"))
-    return C.materialize(pairs.join(grams.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("x")), "u")
-                         .join(grams.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("y")), "v")
-                         .select("u", "v", "u_doc", "v_doc", F.col("n_u") + F.col("n_v"), "x", "y")
-                         .mapInArrow(_check(percent, fine), "u long, v long, u_doc long, v_doc long"))
+    out = C.materialize(pairs.join(grams.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("x")), "u")
+                        .join(grams.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("y")), "v")
+                        .select("u", "v", "u_doc", "v_doc", F.col("n_u") + F.col("n_v"), "x", "y")
+                        .mapInArrow(_check(percent, fine), "u long, v long, u_doc long, v_doc long"))
+    C.forget(wanted, grams)
+    return out
 
 
 def intersect(docs: DataFrame, near: DataFrame, k: int, percent: int) -> DataFrame:
@@ -322,7 +326,7 @@ def _exact(sketch: list[str], near: Callable, percent: int):
 
 
 def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: DataFrame, k: int, percent: int,
-               sketch: list[str], near: Callable, block: int = BLOCK) -> DataFrame | None:
+               sketch: list[str], near: Callable, block: int = BLOCK, exact_bytes: int | None = None) -> DataFrame | None:
     """Links across components inside large groups; None if there are none.
 
     ``groups``: ``sig, node``, one row a member. ``linked``: ``node, component`` so far. ``classes``: ``node, low`` (a
@@ -331,11 +335,15 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
 
     The others are cut into blocks; for each pair of blocks one task compares sketches and returns the members that are
     still open. Two members often meet in many groups: each carries its first ``LEAST`` groups, and a pair that has one of
-    these in common is left to the first of them. These get fine bitmaps, by which a task returns a forest of pairs that join its members if they are
+    these in common is left to the first of them. These get fine bitmaps, and members without a partner by them end there.
+    If the others' sorted arrays are at most ``exact_bytes`` (``EXACT_BYTES``) in all, they are decided at once, block pair by block pair: a
+    round below costs dozens of small jobs, whatever the rows. Else a task returns a forest of pairs that join its members if they are
     links; the forest's pairs are checked on the sorted arrays. If all are links, nothing that they hid is missing. Else
     the next round leaves the refuted pairs out; after ``ROUNDS`` of them, or with too many refuted pairs to broadcast, the
-    members that still have an undecided partner by then are decided on their sorted arrays, block pair by block pair."""
-    member = groups.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")).join(classes.select("node", "n"), "node")
+    members that still have an undecided partner by then are decided on their sorted arrays, too."""
+    exact_bytes = EXACT_BYTES if exact_bytes is None else exact_bytes
+    known = classes.select("node", "n").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    member = groups.join(known, "node")
     tile = (member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("grams"),
                                       F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
             .filter("lo <> hi").groupBy("mark", "m", "grams").agg(F.min("sig").alias("sig")))
@@ -346,7 +354,7 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
     types = ("sig long, i int, j int, node long, n long, component long, block int, least array<long>, " + ", ".join(f"{c} long" for c in sketch))
     held = C.materialize(C.join_by_key(member, tile, "sig", "m", groups.count()).filter("nb is not null").select("sig", "node", "n", "component", "nb"))
     least = held.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST).alias("least"))
-    rows = (held.join(least, "node").join(classes.select("node", *sketch), "node")
+    rows = (held.join(least.join(classes.select("node", *sketch), "node"), "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
             .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "component", "block", "least", *sketch))
@@ -363,30 +371,43 @@ def open_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, classes: D
                              .mapInArrow(_grams(k, fine), "node long, n long, grams binary").select("node", "grams"))
 
     bitmaps, links, refuted = made(left.select("node"), True), None, set()
+
+    def undecided(rows: DataFrame) -> DataFrame:
+        """The members that still have a partner by the fine bitmaps, without the refuted pairs."""
+        no = docs.sparkSession.sparkContext.broadcast(refuted)
+        out = C.materialize(rows.join(bitmaps, "node").groupBy("sig", "i", "j").applyInArrow(_undecided(sketch, near, percent, no, left.columns), types))
+        C.forget(left)
+        return out
+
+    left = undecided(left)
     for _ in range(ROUNDS):
+        grams = left.agg(F.sum("n")).first()[0]
+        if grams is None:
+            return links
+        if grams * 8 <= exact_bytes:
+            break
         no = docs.sparkSession.sparkContext.broadcast(refuted)
         pairs = C.materialize(left.join(bitmaps, "node").groupBy("sig", "i", "j").applyInArrow(_forest(sketch, near, percent, no), "u long, v long").distinct()
                               .join(low.select(F.col("node").alias("u"), F.col("low").alias("u_doc")), "u")
                               .join(low.select(F.col("node").alias("v"), F.col("low").alias("v_doc")), "v").select("u", "v", "u_doc", "v_doc"))
-        if not pairs.limit(1).count():
-            return links
         good = compare(docs, pairs, k, percent, False).select("u", "v").distinct()
         links = good if links is None else links.unionByName(good)
         wrong = pairs.join(good, ["u", "v"], "left_anti").select("u", "v")
-        if not wrong.limit(1).count():
+        n_wrong = wrong.count()
+        if not n_wrong:
             return links
-        found = C.materialize(components(links.unionByName(linked.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")))))
-        left = C.materialize(left.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-                             .select(*left.columns))
-        if wrong.count() + len(refuted) > REFUTED:
+        found = components(links.unionByName(linked.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))))
+        many = n_wrong + len(refuted) > REFUTED
+        if not many:
+            refuted |= {(r.u, r.v) for r in wrong.collect()}
+        left = undecided(left.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).select(*left.columns))
+        if many:
             break
-        refuted |= {(r.u, r.v) for r in wrong.collect()}
-    no = docs.sparkSession.sparkContext.broadcast(refuted)
-    left = C.materialize(left.join(bitmaps, "node").groupBy("sig", "i", "j").applyInArrow(_undecided(sketch, near, percent, no, left.columns), types))
     if not left.limit(1).count():
         return links
     arrays = made(left.select("node"), False)
     more = C.materialize(left.join(arrays, "node").groupBy("sig", "i", "j").applyInArrow(_exact(sketch, near, percent), "u long, v long").distinct())
+    C.forget(left, bitmaps, arrays)
     return more if links is None else links.unionByName(more)
 
 
