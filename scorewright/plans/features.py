@@ -10,6 +10,7 @@ from scorewright.operators.dates import DATE_FEATURES, add_date_features
 from scorewright.operators.encode import apply_target_encoding, fit_target_encoding_by_key
 from scorewright.operators.history import order_history
 from scorewright.operators.joins import spine_join
+from scorewright.session import cut_lineage
 from scorewright.sources.fixtures import (KEY, STATEMENT_CATEGORICAL, STATEMENT_MEASURES, spine, statements,
                                           train_labels)
 
@@ -30,7 +31,8 @@ def statement_features(spark: SparkSession, sf_dir: str, fit_filter=None, with_t
     customer (skew-safe buckets) is the only shuffle of the wide statement rows; the customer
     aggregate reuses its key partitioning, and the customer labels are joined inside it
     (``ordered_scan(attach=...)``), so the wide rows are not shuffled again."""
-    base = add_date_features(statements(spark, sf_dir))
+    # the roll-up of the lines and its join are one job: row counts, bucket samples, encodings and code ranges read its rows
+    base = add_date_features(cut_lineage(statements(spark, sf_dir)))
     labels = train_labels(spark, sf_dir)
     fit_rows = base.where(~F.col("is_test"))
     if fit_filter is not None:

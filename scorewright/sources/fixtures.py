@@ -72,6 +72,13 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).where(F.col(KEY).isNotNull())
 
 
+def statement_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer, sequence and time of each statement of fixture S. The roll-up has one row an order and its join keeps
+    every order, so these columns need no line items."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(F.col("o_custkey").alias(KEY), F.col("o_orderkey").alias(SEQ), epoch_micros("o_orderdate").alias(TS_US)).where(F.col(KEY).isNotNull())
+
+
 def events_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture E: events keyed by user, microsecond timestamps."""
     e = read_table(spark, sf_dir, "events")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scorewright.functions.hashing import unit_score
-from scorewright.sources.fixtures import KEY, customer_truth, statements
+from scorewright.sources.fixtures import KEY, customer_truth, statement_keys
 
 # The model families and the seeds averaged by the reference's ensemble.
 MODELS = ("lgbm", "cb", "xgb")
@@ -55,7 +55,7 @@ def fold_scores(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
 def statement_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statement-level scores ``pred_no_agg`` (what the statement model's OOF/test output
     looks like), carrying the statement order columns."""
-    s = statements(spark, sf_dir).select(KEY, "seq", "ts_us")
+    s = statement_keys(spark, sf_dir)
     t = customer_truth(spark, sf_dir).select(KEY, "truth")
     d = s.join(t, on=KEY, how="left").withColumn("truth", F.coalesce(F.col("truth"), F.lit(0)))
     return d.select(KEY, "seq", "ts_us", _score(F.lit("stmt"), F.lit(0), "seq").alias("pred_no_agg"))
