@@ -74,3 +74,27 @@ def test_training_matrix_has_a_short_lineage_and_leaves_no_files(spark):
     assert set(glob.glob(f"{folder}/**/part-*", recursive=True)) > files
     let_go(held)
     assert set(glob.glob(f"{folder}/**/part-*", recursive=True)) == files
+
+
+def test_large_matrices_get_partitions_by_their_cells(spark):
+    """The work that a task has besides its rows must not outweigh them: 900,000 statements are not cut into 45 partitions."""
+    from scorewright.operators.models import PARTITION_CELLS, laid_out, matrix_partitions
+    assert matrix_partitions(0, 24) == matrix_partitions(20_000, 1000) == 1
+    assert matrix_partitions(900_000, 24) == 6 and matrix_partitions(9_000_000, 24) == 54
+    # wide rows: as many partitions as before, at most
+    assert matrix_partitions(90_000, 1000) == 5
+    for rows, features in ((10**6, 24), (10**7, 170), (10**9, 24)):
+        parts = matrix_partitions(rows, features)
+        assert rows / parts >= 20_000 - 1 and rows * 2 * features / parts <= max(PARTITION_CELLS, 20_000 * 2 * features)
+    rows = spark.range(50_000).withColumnRenamed("id", "customer_id")
+    assert laid_out(rows, ["customer_id"], 3).rdd.getNumPartitions() == 1
+
+
+def test_small_matrices_are_read_from_the_checkpoint(spark):
+    """Fits over a persisted block all run where it is: a matrix of a few partitions is not persisted, one of many is."""
+    from scorewright.session import hold, let_go
+    few, many = hold(spark.range(100).repartition(2, "id")), hold(spark.range(100).repartition(8, "id"))
+    assert not few.is_cached and few.count() == 100
+    assert many.is_cached and many.count() == 100
+    let_go(few)
+    let_go(many)
